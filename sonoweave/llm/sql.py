@@ -15,15 +15,15 @@ WITH rows AS (
 _WINDOWS = """
 WITH docs AS (SELECT doc_id, text FROM documents WHERE length(text) >= 100),
 windows AS (
-  SELECT doc_id, i - 1 AS at, substr(text, i, 100) AS w
+  SELECT doc_id, i - 1 AS pos0, substr(text, i, 100) AS w
   FROM (SELECT doc_id, text, unnest(range(1, length(text) - 98)) AS i FROM docs)
 ), shared AS (SELECT w FROM windows GROUP BY w HAVING min(doc_id) <> max(doc_id)),
-hits AS (SELECT doc_id, at FROM windows WHERE w IN (SELECT w FROM shared)),
+hits AS (SELECT doc_id, pos0 FROM windows WHERE w IN (SELECT w FROM shared)),
 marked AS (
-  SELECT doc_id, at, CASE WHEN at - lag(at) OVER (PARTITION BY doc_id ORDER BY at) <= 100 THEN 0 ELSE 1 END AS fresh FROM hits
-), runs AS (SELECT doc_id, at, sum(fresh) OVER (PARTITION BY doc_id ORDER BY at) AS run FROM marked),
+  SELECT doc_id, pos0, CASE WHEN pos0 - lag(pos0) OVER (PARTITION BY doc_id ORDER BY pos0) <= 100 THEN 0 ELSE 1 END AS fresh FROM hits
+), runs AS (SELECT doc_id, pos0, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos0) AS run FROM marked),
 stretches AS (
-  SELECT doc_id, CAST(min(at) AS BIGINT) AS char_from, CAST(max(at) + 100 AS BIGINT) AS char_to FROM runs GROUP BY doc_id, run
+  SELECT doc_id, CAST(min(pos0) AS BIGINT) AS char_from, CAST(max(pos0) + 100 AS BIGINT) AS char_to FROM runs GROUP BY doc_id, run
 )
 """
 
