@@ -71,7 +71,8 @@ def tables() -> tuple[str, str, list[tuple[str, str]], str]:
         # an accent on a look-alike letter is the accent on the letter it looks like
         to = unicodedata.normalize("NFC", "".join(alike.get(x, x) for x in unicodedata.normalize("NFD", to)))
         if len(to) == 1 and to != ch:
-            single[ch] = to
+            if to != unicodedata.normalize("NFC", ch):  # composition already gives canonical equivalents
+                single[ch] = to
         elif kind in SAME_LOOK and all(x.isalpha() or x in "!?" for x in to) and to.isascii():
             several.append((ch, to))  # ligatures, digraphs, numerals, doubled marks
     # what a mapped form is mapped to in turn
@@ -80,23 +81,46 @@ def tables() -> tuple[str, str, list[tuple[str, str]], str]:
     return "".join(single), "".join(single.values()), several, hidden
 
 
-def one_form_sql(column: str = "t") -> str:
-    """The DuckDB expression that brings ``column`` to the consistent form; null stays null."""
+def _class(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
+
+
+def _common(ch: str) -> bool:
+    """Spaces, width forms and look-alike letters; the other mappings are looked for first, since they are rare and many."""
+    c = ord(ch)
+    return c < 0x590 or 0x1F00 <= c < 0x2070 or c == 0x3000 or 0x3040 <= c < 0x3100 or 0xFF00 <= c < 0xFFF0
+
+
+def one_form_sql(source: str, text: str = "t") -> str:
+    """A DuckDB query: all columns of ``source`` and ``one_form``, the consistent form of its column ``text``.
+
+    Null stays null.  A text of one-byte characters only is its own form.
+    """
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     frm, to, several, hidden = tables()
-    cls = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in hidden) + "]"
+    often = [(a, b) for a, b in zip(frm, to, strict=True) if _common(a)]
+    seldom = [(a, b) for a, b in zip(frm, to, strict=True) if not _common(a)]
+    mapped = lambda x, pairs: f"translate({x}, {quote(''.join(a for a, _ in pairs))}, {quote(''.join(b for _, b in pairs))})"
+    rare = quote(_class("".join(a for a, _ in seldom) + "".join(a for a, _ in several)))
+    expanded = mapped("f1", seldom)
     by_target: dict[str, str] = {}
     for ch, target in several:
         by_target[target] = by_target.get(target, "") + ch
-    sql = f"translate(nfc_normalize(regexp_replace({column}, {quote(cls)}, '', 'g')), {quote(frm)}, {quote(to)})"
-    # signs for several code points are rare: one test decides whether any of them occurs
-    any_sign = "[" + "".join(f"\\x{{{ord(c):X}}}" for cs in by_target.values() for c in cs) + "]"
-    expanded = sql
-    for target, cs in by_target.items():
-        cls = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in cs) + "]"
-        expanded = f"regexp_replace({expanded}, {quote(cls)}, {quote(target)}, 'g')" if len(cs) > 1 else f"replace({expanded}, {quote(cs)}, {quote(target)})"
-    whole = f"CASE WHEN regexp_matches({column}, {quote(any_sign)}) THEN {expanded} ELSE {sql} END"
-    return f"translate(nfc_normalize({whole}), {quote(frm)}, {quote(to)})"
+    for target, chars in by_target.items():
+        expanded = f"regexp_replace({expanded}, {quote(_class(chars))}, {quote(target)}, 'g')"
+    plain = f"strlen({text}) = length({text})"
+    steps = [
+        f"CASE WHEN {plain} THEN NULL ELSE nfc_normalize(regexp_replace({text}, {quote(_class(hidden))}, '', 'g')) END AS f1",
+        f"CASE WHEN regexp_matches(f1, {rare}) THEN {expanded} ELSE f1 END AS f2",
+        f"{mapped('f2', often)} AS f3",
+        "nfc_normalize(f3) AS f4",
+        # what composition has made of mapped letters may be a mapped letter again
+        f"CASE WHEN {plain} THEN {text} WHEN f4 = f3 THEN f4 ELSE {mapped('f4', often)} END AS one_form",
+    ]
+    query = source
+    for step in steps:
+        query = f"SELECT *, {step} FROM ({query})"
+    return f"SELECT * EXCLUDE (f1, f2, f3, f4) FROM ({query})"
 
 
 def with_one_form(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -104,7 +128,7 @@ def with_one_form(df: DataFrame, key: str, text: str) -> DataFrame:
 
     A null text has a null form; an empty one, or one of invisible characters only, the empty form.
     """
-    sql = f"SELECT k, t, {one_form_sql('t')} AS one_form FROM batch"
+    sql = one_form_sql("SELECT k, t FROM batch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb

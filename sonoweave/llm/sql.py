@@ -8,7 +8,7 @@ _FORMS = f"""
 WITH rows AS (
   SELECT DISTINCT ON (seg_id) seg_id, text AS t FROM segments
   WHERE type = 'sentence' AND text IS NOT NULL ORDER BY seg_id, loaded_at
-), forms AS (SELECT seg_id, t, {one_form_sql("t")} AS form FROM rows)
+), forms AS (SELECT seg_id, t, one_form AS form FROM ({one_form_sql("SELECT seg_id, t FROM rows")}))
 """
 
 #: Windows of 100 code points, those that another document has too, and their union per document.
