@@ -68,7 +68,7 @@ def is_punctuation(char: Column) -> Column:
 
 def clean_word(word: Column) -> Column:
     """Letters, digits and underscore only, lower case."""
-    return F.lower(F.regexp_replace(word, r"(?U)[^\w一-鿿]", ""))
+    return F.lower(F.regexp_replace(word, r"[^\p{L}\p{N}_]", ""))
 
 
 def has_cjk(word: Column) -> Column:
@@ -112,7 +112,7 @@ def language_of_directory(name: Column) -> Column:
 
 def error_rate_tokens(text: Column) -> Column:
     """Tokens that the word error rate compares: lower case, no punctuation, split at white space; ``[]`` for null."""
-    bare = F.regexp_replace(F.lower(F.trim(F.coalesce(text, F.lit("")))), r"(?U)[^\w一-鿿\s]", "")
+    bare = F.regexp_replace(F.lower(F.trim(F.coalesce(text, F.lit("")))), r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}]", "")
     return F.filter(F.split(bare, rf"{SPACE}+"), lambda t: t != "")
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sonoweave.functions.text import error_rate_tokens
 
@@ -23,12 +24,11 @@ def token_distance(ref: list, hyp: list) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf("double")
-def _rate(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+def _rates(ref: pd.Series, hyp: pd.Series) -> pd.Series:
     pairs = zip(ref, hyp, strict=True)
     return pd.Series([token_distance(list(r), list(h)) / max(len(r), 1) for r, h in pairs], dtype="float64")
 
 
 def word_error_rate(ref: Column, hyp: Column) -> Column:
     """Edit distance of the tokens over the reference's token count (at least 1); null texts have no tokens."""
-    return _rate(error_rate_tokens(ref), error_rate_tokens(hyp))
+    return F.pandas_udf(_rates, DoubleType())(error_rate_tokens(ref), error_rate_tokens(hyp))

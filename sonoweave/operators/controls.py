@@ -83,7 +83,8 @@ def span_values(spans: DataFrame, frames: DataFrame, keep: Sequence[str], value)
 
     The spans of an utterance meet its frames once, as one array.
     """
-    grouped = spans.groupBy("utt_id").agg(F.collect_list(F.struct(*keep, "start", "end")).alias("_spans"))
+    bounds = [c for c in ("start", "end") if c not in keep]
+    grouped = spans.groupBy("utt_id").agg(F.collect_list(F.struct(*keep, *bounds)).alias("_spans"))
     rows = grouped.join(frames, "utt_id")
     each = F.transform("_spans", lambda s: F.struct(*[s[k].alias(k) for k in keep], value(s["start"], s["end"]).alias("v")))
     return rows.select("utt_id", F.explode(each).alias("_x")).select("utt_id", *[F.col(f"_x.{k}").alias(k) for k in keep], F.col("_x.v").alias("v"))

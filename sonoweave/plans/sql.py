@@ -2,6 +2,225 @@
 
 from __future__ import annotations
 
+from sonoweave.functions import text as T
+from sonoweave.functions import zscore as Z
+from sonoweave.operators.calibrate import FEATURES
+from sonoweave.operators.compose import PRIORITY
+
+_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+
+
+def _values(mapping: dict) -> str:
+    return ", ".join(f"('{k}', {v!r})" for k, v in mapping.items())
+
+
+def _tokens(source: str, key: str) -> str:
+    """CTEs ending in ``toks(key, wi, text)``: raw tokens, marks glued to the token before them."""
+    return rf"""
+raw AS (
+  SELECT {key}, unnest(x) AS t, generate_subscripts(x, 1) AS i
+  FROM (SELECT {key}, regexp_extract_all(text, '[a-zA-Z0-9'']+|[^\n]') AS x FROM {source} WHERE text IS NOT NULL)
+), kept AS (
+  SELECT *, length(t) > 1 OR regexp_full_match(t, '[\p{{L}}\p{{N}}]') AS core FROM raw
+  WHERE length(t) > 1 OR NOT regexp_full_match(t, '{_SPACE}')
+), glued AS (SELECT *, sum(CAST(core AS INT)) OVER (PARTITION BY {key} ORDER BY i) AS g FROM kept),
+joined AS (SELECT {key}, g, string_agg(t, '' ORDER BY i) AS text FROM glued GROUP BY {key}, g),
+toks AS (SELECT {key}, CAST(row_number() OVER (PARTITION BY {key} ORDER BY g) - 1 AS INT) AS wi, text FROM joined)"""
+
+
+def _grouped(source: str, key: str) -> str:
+    """CTEs ending in ``grp``: words with clause and sentence ids and positions."""
+    return f"""
+ends AS (
+  SELECT *, CAST(regexp_matches(text, '[{T.CLAUSE_END}]') AS INT) AS ce, CAST(regexp_matches(text, '[{T.SENTENCE_END}]') AS INT) AS se FROM {source}
+), ids AS (
+  SELECT *, CAST(coalesce(sum(ce) OVER o, 0) AS INT) AS clause_id, CAST(coalesce(sum(se) OVER o, 0) AS INT) AS sent_id
+  FROM ends WINDOW o AS (PARTITION BY {key} ORDER BY wi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), grp AS (SELECT *, wi + clause_id + sent_id AS pos FROM ids)"""
+
+
+_DOC_WORDS = "WITH " + _tokens("documents", "doc_id") + "," + _grouped("toks", "doc_id")
+
+_CJK = f"regexp_full_match(%s, '{T.CJK_TOKEN[1:-1]}')"
+
+
+def _denormal(source: str, keys: str, order: str, text: str) -> str:
+    """CTE body: the group's tokens with a space only between two that are not wholly Chinese."""
+    return f"""
+SELECT {keys}, string_agg(CASE WHEN n = 1 OR {_CJK % "text"} OR {_CJK % "before"} THEN text ELSE ' ' || text END, '' ORDER BY {order}) AS {text}
+FROM (
+  SELECT *, lag(text) OVER (PARTITION BY {keys} ORDER BY {order}) AS before, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS n FROM {source}
+) GROUP BY {keys}"""
+
+
+_ONCE = """
+seg AS (SELECT DISTINCT ON (seg_id) * FROM segments ORDER BY seg_id, loaded_at),
+lw AS (
+  SELECT *, CAST(count(*) FILTER (WHERE type = 'word') OVER o AS INT) AS wi, CAST(count(*) FILTER (WHERE type = 'clause') OVER o AS INT) AS clause_id,
+    CAST(count(*) FILTER (WHERE type = 'sentence') OVER o AS INT) AS sent_id
+  FROM seg WINDOW o AS (PARTITION BY utt_id ORDER BY pos, seg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), words AS (
+  SELECT utt_id, source, wi, pos, clause_id, sent_id, text, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e
+  FROM lw WHERE type = 'word'
+), gapped AS (
+  SELECT *, s - lag(e) OVER o AS gap, lag(clause_id) OVER o AS pc FROM words WINDOW o AS (PARTITION BY utt_id ORDER BY wi)
+), cl AS (
+  SELECT utt_id, clause_id, count(*) AS n_words, min(pos) AS first_pos, min(s) AS s, max(e) AS e,
+    coalesce(sum(gap) FILTER (WHERE pc = clause_id AND gap > 0.2), 0.0) AS paused
+  FROM gapped GROUP BY utt_id, clause_id
+), about AS (
+  SELECT utt_id, min(lower(trim(lang, ' '))) AS lang, coalesce(min(lower(trim(style, ' '))), 'read') AS style FROM utterances GROUP BY utt_id
+), ps AS (SELECT lang_style, feature, max(mean) AS mean, max(std) AS std FROM population_stats GROUP BY lang_style, feature),
+grouped AS (SELECT utt_id, CASE WHEN lang IN ('zh', 'chinese') THEN 'zh_' ELSE 'en_' END || style AS lang_style, lang, style FROM about)
+"""
+
+
+def _case_level(z: str, labels) -> str:
+    a, b, c, d = Z.EDGES
+    return (
+        f"CASE WHEN {z} < {a} THEN '{labels[0]}' WHEN {z} < {b} THEN '{labels[1]}' WHEN {z} <= {c} THEN '{labels[2]}'"
+        f" WHEN {z} <= {d} THEN '{labels[3]}' WHEN {z} IS NOT NULL THEN '{labels[4]}' END"
+    )
+
+
+def _pause_level(g: str) -> str:
+    whens = " ".join(f"WHEN {g} < {bound} THEN '{name}'" for name, bound in Z.PAUSE_LEVELS if bound is not None)
+    return f"CASE WHEN {g} IS NULL THEN NULL {whens} ELSE '{Z.PAUSE_LEVELS[-1][0]}' END"
+
+
+_CLAMPED = f"round(greatest(-{Z.CLAMP}, least({Z.CLAMP}, z)), 2)"
+
+_SPEED = """
+speeds AS (
+  SELECT utt_id, clause_id, first_pos, n_words, n_words / (e - s - paused) AS speed FROM cl WHERE e - s - paused > 0
+), zs AS (
+  SELECT speeds.*, CASE WHEN std > 0 THEN (speed - mean) / std END AS z
+  FROM speeds LEFT JOIN grouped USING (utt_id) LEFT JOIN ps ON ps.lang_style = grouped.lang_style AND feature = 'speed'
+)"""
+
+_TOP = f"""
+emo AS (
+  SELECT DISTINCT utt_id, sent_id, value FROM (
+    SELECT utt_id, sent_id, array_to_string(list_transform(list_slice(list_sort(list_filter(
+      list_transform(range(1, {len(Z.EMOTIONS) + 1}), lambda i: struct_pack(s := -scores[i], i := i, name := {list(Z.EMOTIONS)!r}[i])),
+      lambda p: p.name NOT IN {Z.SILENT_EMOTIONS!r} AND p.s IS NOT NULL AND NOT isnan(p.s) AND p.s <= -0.3)), 1, 2), lambda p: p.name), '+') AS value
+    FROM emotion_scores) WHERE value <> ''
+)"""
+
+_COLS = "utt_id, CAST({o} AS INT) AS ext_order, '{t}' AS type, {v} AS value, CAST({n} AS DOUBLE) AS value_num, CAST({p} AS INT) AS pos"
+
+_STYLE = "SELECT " + _COLS.format(o=0, t="style", v="style", n="NULL", p="min(pos)") + " FROM words LEFT JOIN about USING (utt_id) GROUP BY utt_id, style"
+
+
+def _breaks(value: str) -> str:
+    return (
+        "SELECT " + _COLS.format(o=1, t="break", v=value, n="round(gap, 1)", p="pos")
+        + f" FROM gapped WHERE pc IS NOT NULL AND {_pause_level('gap')} <> '{Z.PAUSE_LEVELS[0][0]}'"
+    )
+
+
+def _scored(kind: str, order: int, labels, source: str) -> str:
+    return "SELECT " + _COLS.format(o=order, t=kind, v=_case_level("z", labels), n=_CLAMPED, p="first_pos") + f" FROM {source} WHERE abs(z) > {Z.THRESHOLD}"
+
+
+_EMOTION = (
+    "SELECT " + _COLS.format(o=6, t="emotion", v="value", n="NULL", p="fp")
+    + " FROM (SELECT utt_id, sent_id, min(pos) AS fp FROM words GROUP BY utt_id, sent_id) JOIN emo USING (utt_id, sent_id)"
+)
+
+_ALL = f"WITH {_ONCE}, {_SPEED}, {_TOP}, allc AS ({_STYLE} UNION ALL {_breaks(_pause_level('gap'))} UNION ALL {_scored('speed', 2, Z.SPEED_LEVELS, 'zs')} UNION ALL {_EMOTION})"
+
+_PRIO = f"pr(type, prio) AS (VALUES {_values(PRIORITY)})"
+
+
+def _limit(most: int, source: str = "allc") -> str:
+    return f"""{_PRIO}, lim AS (
+  SELECT * EXCLUDE (k) FROM (
+    SELECT c.*, row_number() OVER (PARTITION BY c.utt_id, coalesce(w.clause_id, -1) ORDER BY coalesce(prio, 99), ext_order, c.pos, value) AS k
+    FROM {source} c LEFT JOIN pr USING (type) LEFT JOIN words w ON w.utt_id = c.utt_id AND w.pos = c.pos
+  ) WHERE k <= {most}
+)"""
+
+
+def _format(source: str) -> str:
+    return f"""fmt AS (
+  SELECT utt_id, pos, string_agg(CASE WHEN type = 'emphasis' AND value = 'emphasis' THEN '[emphasis]' ELSE '[' || type || '=' || coalesce(value, 'None') || ']' END, ''
+    ORDER BY coalesce(prio, 99), ext_order, type, value) AS tags
+  FROM {source} LEFT JOIN pr USING (type) GROUP BY utt_id, pos
+)"""
+
+
+_TEXT = "SELECT utt_id, string_agg(coalesce(tags, '') || coalesce(text, ''), ' ' ORDER BY wi) AS text FROM words LEFT JOIN fmt USING (utt_id, pos) GROUP BY utt_id"
+
+_GIVEN = """given AS (
+  SELECT DISTINCT utt_id, ext_order, type, value, CASE WHEN NOT isnan(value_num) THEN value_num END AS value_num, pos, info FROM controls
+)"""
+
+_FRAMES = """
+fr AS (
+  SELECT utt_id, list_transform(e, lambda x: abs(x) * 0.2) AS energy, list_transform(e, lambda x: CASE WHEN x > -0.05 THEN 200.0 + 100.0 * x ELSE 0.0 END) AS f0
+  FROM (SELECT DISTINCT utt_id, CAST(regexp_extract(utt_id, '(\\d+)$', 1) AS INT) % 500 AS vec_id FROM utterances)
+  JOIN (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings) USING (vec_id)
+), base AS (
+  SELECT utt_id, list_avg(v) AS bm, greatest(list_stddev_samp(v), 10.0) AS bs
+  FROM (SELECT utt_id, list_filter(f0, lambda x: x > 0) AS v FROM fr) WHERE len(v) >= 5
+)"""
+
+
+def _slice(array: str, s: str, e: str) -> str:
+    """Frames ``s..e`` at ten a second; a negative index counts from the end."""
+    at = lambda t: f"(CASE WHEN trunc({t} * 10.0) < 0 THEN greatest(trunc({t} * 10.0) + len({array}), 0) ELSE least(trunc({t} * 10.0), len({array})) END)"
+    return f"(CASE WHEN {s} IS NULL OR {e} IS NULL THEN [] ELSE list_slice({array}, CAST({at(s)} AS BIGINT) + 1, CAST({at(e)} AS BIGINT)) END)"
+
+
+def _framed(spans: str) -> str:
+    """CTE ``sl``: spans with their energy and voiced pitch frames."""
+    return f"""sl AS (
+  SELECT x.*, {_slice("energy", "x.s", "x.e")} AS en, list_filter({_slice("f0", "x.s", "x.e")}, lambda v: v > 0) AS vo, bm, bs
+  FROM {spans} x JOIN fr USING (utt_id) LEFT JOIN base USING (utt_id)
+)"""
+
+
+def _z(value: str, feature: str, alias: str) -> str:
+    return f"CASE WHEN {alias}.std > 0 THEN ({value} - {alias}.mean) / {alias}.std END"
+
+
+_VOLUME = f"""{_framed("cl")}, zs AS (
+  SELECT sl.utt_id, clause_id, first_pos, coalesce(list_avg(en), 0.0) AS v, {_z("coalesce(list_avg(en), 0.0)", "energy", "ps")} AS z
+  FROM sl LEFT JOIN grouped USING (utt_id) LEFT JOIN ps ON ps.lang_style = grouped.lang_style AND feature = 'energy'
+)"""
+_PITCH = f"""{_framed("cl")}, zs AS (
+  SELECT utt_id, clause_id, first_pos, list_avg(vo) AS f0, CASE WHEN len(vo) >= 5 THEN (list_avg(vo) - bm) / bs END AS z FROM sl
+)"""
+_EMPHASIS = f"""{_framed("words")}, parts AS (
+  SELECT sl.utt_id, pos, {_z("coalesce(list_avg(en), 0.0)", "word_energy", "pe")} AS z1, {_z("(e - s)", "word_duration", "pd")} AS z2,
+    CASE WHEN len(vo) >= 3 THEN (list_avg(vo) - bm) / bs END AS z3
+  FROM sl LEFT JOIN grouped g USING (utt_id) LEFT JOIN ps pe ON pe.lang_style = g.lang_style AND pe.feature = 'word_energy'
+  LEFT JOIN ps pd ON pd.lang_style = g.lang_style AND pd.feature = 'word_duration'
+), zs AS (
+  SELECT utt_id, pos AS first_pos, (coalesce(0.4 * z1, 0) + coalesce(0.3 * z2, 0) + coalesce(0.3 * z3, 0)) /
+    nullif(CASE WHEN z1 IS NULL THEN 0.0 ELSE 0.4 END + CASE WHEN z2 IS NULL THEN 0.0 ELSE 0.3 END + CASE WHEN z3 IS NULL THEN 0.0 ELSE 0.3 END, 0) AS z
+  FROM parts
+)"""
+
+_FEATURES = """feats AS (
+  SELECT utt_id, 'duration' AS feature, e - s AS value FROM cl WHERE e - s > 0
+  UNION ALL SELECT utt_id, 'speed', n_words / (e - s - paused) FROM cl WHERE e - s > 0 AND e - s - paused > 0
+  UNION ALL SELECT utt_id, 'word_duration', e - s FROM words WHERE e - s > 0
+  {more}
+), st AS (
+  SELECT coalesce(lang, 'unknown') || '_' || style AS lang_style, feature, count(value) AS n, avg(value) AS mean, coalesce(stddev_samp(value), 0.0) AS std
+  FROM feats LEFT JOIN about USING (utt_id) GROUP BY ALL
+), grid AS (
+  SELECT lang_style, feature, coalesce(n, 0) AS n, coalesce(mean, 0.0) AS mean, coalesce(std, 0.0) AS std
+  FROM (SELECT lang_style, unnest({names}) AS feature FROM (SELECT DISTINCT lang_style FROM st)) LEFT JOIN st USING (lang_style, feature)
+)"""
+_CALIBRATION = f"WITH {_ONCE}, " + _FEATURES.format(more="", names=repr(list(FEATURES)))
+_FRAME_FEATURES = """
+  UNION ALL SELECT utt_id, 'energy', list_avg(en) FROM sl WHERE len(en) > 0
+  UNION ALL SELECT utt_id, 'word_energy', list_avg(en) FROM slw WHERE len(en) > 0"""
+_ROUNDED = "SELECT lang_style, feature, n, round(mean, 6) AS mean, round(std, 6) AS std FROM "
+
 _INTERVALS = """
 WITH i AS (
   SELECT utt_id, type AS seg_type, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e
@@ -12,6 +231,29 @@ WITH i AS (
 )
 """
 
+_ATTACH = r"""
+said AS (SELECT utt_id, max(text) AS text FROM utterances {where} GROUP BY utt_id),
+""" + _tokens("said", "utt_id") + r""",
+cleaned AS (SELECT *, lower(regexp_replace(text, '[^\p{{L}}\p{{N}}_]', '', 'g')) AS c FROM toks),
+uses AS (SELECT *, CASE WHEN c = '' THEN 0 WHEN regexp_matches(c, '[一-鿿]') THEN length(c) ELSE 1 END AS use FROM cleaned),
+have AS (SELECT utt_id, count(*) AS have FROM words GROUP BY utt_id),
+pl AS (
+  SELECT *, least(coalesce(sum(use) OVER (PARTITION BY utt_id ORDER BY wi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), have) AS fi
+  FROM uses JOIN have USING (utt_id)
+), tm AS (SELECT *, use > 0 AND fi < have AS timed FROM pl),
+nb AS (SELECT * EXCLUDE (wi), wi AS ti, CAST(sum(CAST(timed AS INT)) OVER (PARTITION BY utt_id ORDER BY wi) - 1 AS INT) AS wi FROM tm),
+aw AS (
+  SELECT utt_id, wi, string_agg(text, '' ORDER BY ti) AS text, min(fi) FILTER (WHERE timed) AS fi, min(least(fi + use, have) - 1) FILTER (WHERE timed) AS la
+  FROM nb WHERE wi >= 0 AND (timed OR use = 0) GROUP BY utt_id, wi
+), att AS (
+  SELECT aw.utt_id, aw.wi, aw.text, round(a.s, 6) AS start, round(b.e, 6) AS "end"
+  FROM aw LEFT JOIN words a ON a.utt_id = aw.utt_id AND a.wi = fi LEFT JOIN words b ON b.utt_id = aw.utt_id AND b.wi = la
+)"""
+
+_LANG = "CASE lower(lang) " + " ".join(f"WHEN '{k}' THEN '{v}' WHEN '{v.lower()}' THEN '{v}'" for k, v in T.LANGUAGES.items()) + " ELSE lang END"
+_WF = r"regexp_extract(path, '([^/]*)/[^/]*$', 1)"
+_STEM = r"regexp_extract(path, '([^/]*?)(?:\.[^./]*)?$', 1)"
+
 SQL: dict[str, str] = {
     "p2_found": """
 WITH w AS (
@@ -38,11 +280,106 @@ r AS (
 SELECT seg_id FROM t LEFT JOIN usual USING (source)
 WHERE impossible OR stuck OR abs(ln(CASE WHEN impossible THEN m / 1000.0 ELSE e - s END * 1000.0 / m)) >= ln(5.0) - 1e-9
 """,
-    "p5_found": _INTERVALS
-    + "SELECT utt_id, seg_type, before AS gap_from_ms, s AS gap_to_ms FROM m WHERE before < s",
+    "p5_found": _INTERVALS + "SELECT utt_id, seg_type, before AS gap_from_ms, s AS gap_to_ms FROM m WHERE before < s",
     "p5_periods": _INTERVALS
     + """, p AS (
   SELECT *, sum(CASE WHEN before >= s THEN 0 ELSE 1 END) OVER (PARTITION BY utt_id, seg_type ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM m
 )
 SELECT utt_id, seg_type, min(s) AS from_ms, max(e) AS to_ms FROM p GROUP BY utt_id, seg_type, k""",
+    "tokens": "WITH " + _tokens("documents", "doc_id") + " SELECT doc_id, wi, text AS token FROM toks",
+    "token_counts": "WITH " + _tokens("documents", "doc_id") + " SELECT d.doc_id, count(t.wi) AS n_tokens FROM documents d LEFT JOIN toks t USING (doc_id) GROUP BY d.doc_id",
+    "normalized": "WITH said AS (SELECT DISTINCT utt_id, text FROM utterances)," + _tokens("said", "utt_id")
+    + ", j AS (SELECT utt_id, string_agg(text, ' ' ORDER BY wi) AS x FROM toks GROUP BY utt_id) SELECT utt_id, coalesce(x, '') AS normalized FROM said LEFT JOIN j USING (utt_id)",
+    "denormalized": "WITH said AS (SELECT DISTINCT utt_id, text FROM utterances)," + _tokens("said", "utt_id")
+    + f", j AS ({_denormal('toks', 'utt_id', 'wi', 'x')}) SELECT utt_id, coalesce(x, '') AS denormalized FROM said LEFT JOIN j USING (utt_id)",
+    "word_properties": rf"""
+SELECT text, count(*) AS n, lower(regexp_replace(text, '[^\p{{L}}\p{{N}}_]', '', 'g')) AS clean, regexp_matches(text, '[一-鿿]') AS cjk,
+  regexp_matches(text, '[{T.CLAUSE_END}]') AS clause_end, regexp_matches(text, '[{T.SENTENCE_END}]') AS sentence_end, regexp_full_match(text, '\p{{P}}') AS punctuation
+FROM segments WHERE type = 'word' AND text IS NOT NULL GROUP BY text""",
+    "languages": f"""
+SELECT utt_id, {_LANG} AS language, CASE WHEN lower(lang) IN ('zh', 'chinese') THEN 'zh_' ELSE 'en_' END || coalesce(style, 'read') AS lang_style,
+  CASE WHEN lang LIKE '%en%' AND lang NOT LIKE '%zh%' THEN 'English' WHEN lang LIKE '%zh%' AND lang NOT LIKE '%en%' THEN 'Chinese' END AS dir_language
+FROM (SELECT DISTINCT utt_id, lang, style FROM utterances)""",
+    "paired_datasets": f"""
+SELECT utt_id, source, d.style AS set_style, {_WF} AS lang_dir, {_STEM} AS stem, regexp_extract(path, '^(.*)/[^/]*$', 1) || '/' || {_STEM} || coalesce(text_ext, '.txt') AS transcript,
+  '[' || {_WF} || '] ' || {_STEM} AS label
+FROM (SELECT DISTINCT utt_id, source, path FROM utterances WHERE path IS NOT NULL)
+JOIN (SELECT name, style, text_ext FROM datasets) d ON d.name = source""",
+    "unpaired_utterances": "SELECT DISTINCT utt_id, source FROM utterances WHERE utt_id NOT IN (SELECT utt_id FROM utterances WHERE text IS NOT NULL)",
+    "document_words": _DOC_WORDS + " SELECT doc_id, wi, pos, clause_id, sent_id, text FROM grp",
+    "document_segments": _DOC_WORDS
+    + f""", tmd AS (
+  SELECT *, 50 + 20 * length(text) AS d, 30 + CASE WHEN coalesce(lag(ce) OVER o, 0) = 1 THEN 300 ELSE 0 END + CASE WHEN coalesce(lag(se) OVER o, 0) = 1 THEN 800 ELSE 0 END
+    + CASE WHEN (wi * 7 + doc_id * 13) % 11 = 0 THEN 500 ELSE 0 END AS gp
+  FROM grp WINDOW o AS (PARTITION BY doc_id ORDER BY wi)
+), ed AS (SELECT *, CAST(sum(gp + d) OVER (PARTITION BY doc_id ORDER BY wi) AS BIGINT) AS end_ms FROM tmd),
+sd AS (SELECT *, end_ms - d AS start_ms FROM ed),
+ct AS ({_denormal("sd", "doc_id, clause_id", "wi", "text")}), stx AS ({_denormal("sd", "doc_id, sent_id", "wi", "text")})
+SELECT doc_id, pos, 'word' AS type, text, start_ms, end_ms FROM sd
+UNION ALL SELECT doc_id, max(pos) + 1, 'clause', any_value(ct.text), min(start_ms), max(end_ms) FROM sd JOIN ct USING (doc_id, clause_id) GROUP BY doc_id, clause_id
+UNION ALL SELECT doc_id, max(pos) + 2, 'sentence', any_value(stx.text), min(start_ms), max(end_ms) FROM sd JOIN stx USING (doc_id, sent_id) GROUP BY doc_id, sent_id""",
+    "attached_times": f"WITH {_ONCE}," + _ATTACH.replace("{where}", "").replace("{{", "{").replace("}}", "}") + " SELECT * FROM att",
+    "listed_words": f'WITH {_ONCE} SELECT utt_id, source, wi, pos, clause_id, sent_id, text, round(s, 6) AS start, round(e, 6) AS "end" FROM words',
+    "clauses": f"""WITH {_ONCE} SELECT utt_id, clause_id, n_words, first_pos, round(s, 6) AS start, round(e, 6) AS "end", round(e - s - paused, 6) AS effective,
+  round(greatest(e - s - paused, 0.0), 6) AS effective_clamped FROM cl""",
+    "pauses": f"WITH {_ONCE} SELECT utt_id, wi, pos, round(gap, 6) AS gap, pc <> clause_id AS inter_clause, {_pause_level('round(gap, 6)')} AS level FROM gapped WHERE pc IS NOT NULL",
+    "frame_means": f"WITH {_ONCE}, {_FRAMES}, {_framed('cl')} SELECT utt_id, clause_id, round(coalesce(list_avg(en), 0.0), 6) AS energy FROM sl",
+    "speaker_baselines": f"WITH {_FRAMES} SELECT utt_id, round(bm, 6) AS f0_mean, round(bs, 6) AS f0_std FROM base",
+    "clause_pitches": f"WITH {_ONCE}, {_FRAMES}, {_PITCH} SELECT utt_id, clause_id, round(f0, 6) AS f0, round(z, 6) AS z FROM zs",
+    "speed_scores": f"""WITH {_ONCE}, {_SPEED}, r AS (SELECT * REPLACE (round(z, 6) AS z) FROM zs)
+SELECT utt_id, clause_id, round(speed, 6) AS speed, z, coalesce(abs(z) > {Z.THRESHOLD}, false) AS annotated, {_case_level("z", Z.SPEED_LEVELS)} AS level,
+  CASE WHEN z IS NOT NULL THEN greatest(-{Z.CLAMP}, least({Z.CLAMP}, z)) END AS clamped FROM r""",
+    "style_controls": f"WITH {_ONCE} {_STYLE}",
+    "pause_controls": f"WITH {_ONCE} {_breaks(_pause_level('gap'))}",
+    "pause_controls_number": f"WITH {_ONCE} {_breaks('CAST(round(gap, 1) AS VARCHAR)')}",
+    "speed_controls": f"WITH {_ONCE}, {_SPEED} {_scored('speed', 2, Z.SPEED_LEVELS, 'zs')}",
+    "volume_controls": f"WITH {_ONCE}, {_FRAMES}, {_VOLUME} {_scored('volume', 3, Z.VOLUME_LEVELS, 'zs')}",
+    "pitch_controls": f"WITH {_ONCE}, {_FRAMES}, {_PITCH} {_scored('pitch', 4, Z.LEVELS, 'zs')}",
+    "emphasis_controls": f"WITH {_ONCE}, {_FRAMES}, {_EMPHASIS} SELECT " + _COLS.format(o=5, t="emphasis", v="'emphasis'", n=_CLAMPED, p="first_pos") + " FROM zs WHERE z > 1.0",
+    "emotion_controls": f"WITH {_ONCE}, {_TOP} {_EMOTION}",
+    "all_controls": _ALL + " SELECT * FROM allc",
+    "limited_controls": f"{_ALL}, {_limit(1)} SELECT * FROM lim",
+    "formatted_controls": f"{_ALL}, {_PRIO}, {_format('allc')} SELECT * FROM fmt",
+    "control_text": f"{_ALL}, {_limit(2)}, {_format('lim')} {_TEXT}",
+    "given_control_text": f"WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')} {_TEXT}",
+    "control_spans": f"""WITH {_ONCE}, {_GIVEN}, cx AS (
+  SELECT utt_id, pos, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e, type FROM seg
+), ctx AS (
+  SELECT g.type, g.value, g.utt_id, g.pos, x.s, x.e,
+    (SELECT arg_max(w.e, w.pos) FILTER (WHERE true) FROM cx w WHERE w.utt_id = g.utt_id AND w.pos < g.pos AND w.type = 'word' AND w.pos = (SELECT max(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos < g.pos AND v.type = 'word')) AS b,
+    (SELECT min(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos >= g.pos AND v.type = 'clause') AS cp,
+    (SELECT min(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos >= g.pos AND v.type = 'sentence') AS sp
+  FROM given g LEFT JOIN cx x ON x.utt_id = g.utt_id AND x.pos = g.pos
+)
+SELECT q.utt_id, q.type, q.value, q.pos,
+  round(coalesce(CASE WHEN q.type = 'break' THEN coalesce(b, 0.0) WHEN q.type = 'emotion' THEN CASE WHEN sp IS NULL THEN q.s ELSE sr.s END
+    WHEN q.type IN ('speed', 'volume', 'pitch') THEN CASE WHEN cp IS NULL THEN q.s ELSE cr.s END ELSE q.s END, 0.0), 4) AS time,
+  round(coalesce(CASE WHEN q.type = 'break' THEN q.s WHEN q.type = 'emotion' THEN CASE WHEN sp IS NULL THEN q.s ELSE sr.e END
+    WHEN q.type IN ('speed', 'volume', 'pitch') THEN CASE WHEN cp IS NULL THEN q.s ELSE cr.e END ELSE q.e END, 0.0), 4) AS time_end
+FROM ctx q LEFT JOIN cx cr ON cr.utt_id = q.utt_id AND cr.pos = q.cp LEFT JOIN cx sr ON sr.utt_id = q.utt_id AND sr.pos = q.sp""",
+    "segment_table": f"WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')} SELECT utt_id, pos, type, text, coalesce(tags, '') AS tags FROM seg LEFT JOIN fmt USING (utt_id, pos)",
+    "highlight_spans": rf"""WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')}, x AS (
+  SELECT utt_id, wi, text, regexp_extract_all(coalesce(tags, ''), '\[[^\]]*\]') AS f FROM words LEFT JOIN fmt USING (utt_id, pos)
+)
+SELECT utt_id, wi, CAST(generate_subscripts(f, 1) - 1 AS INT) AS n, unnest(f) AS span, regexp_extract(unnest(f), '\[([^=\]]*)', 1) AS label FROM x
+UNION ALL SELECT utt_id, wi, CAST(len(f) AS INT), coalesce(text, ''), CASE WHEN len(f) > 0 THEN regexp_extract(f[1], '\[([^=\]]*)', 1) END FROM x""",
+    "calibration": f"{_CALIBRATION} {_ROUNDED} grid",
+    "calibration_with_frames": f"WITH {_ONCE}, {_FRAMES}, {_framed('(SELECT * FROM cl WHERE e - s > 0)')}, "
+    + _framed("(SELECT * FROM words WHERE e - s > 0)").replace("sl AS", "slw AS", 1) + ", " + _FEATURES.format(more=_FRAME_FEATURES, names=repr(list(FEATURES))) + f" {_ROUNDED} grid",
+    "resumed_calibration": f"""{_CALIBRATION}, u AS (
+  SELECT * FROM grid WHERE n > 0 UNION ALL SELECT lang_style, feature, n, mean, std FROM population_stats WHERE n > 0
+), t AS (SELECT lang_style, feature, sum(n) AS tn, sum(n * mean) / sum(n) AS tm FROM u GROUP BY ALL)
+SELECT lang_style, feature, CAST(any_value(tn) AS BIGINT) AS n, round(any_value(tm), 6) AS mean,
+  round(CASE WHEN any_value(tn) > 1 THEN sqrt(sum(std * std * (n - 1) + n * (mean - tm) * (mean - tm)) / (any_value(tn) - 1)) ELSE 0.0 END, 6) AS std
+FROM u JOIN t USING (lang_style, feature) GROUP BY lang_style, feature""",
+    "compared_calibration": f"{_CALIBRATION} SELECT lang_style, feature, g.n AS n_found, p.n AS n_shipped, round(g.mean - p.mean, 6) AS mean_diff FROM grid g JOIN population_stats p USING (lang_style, feature)",
+    "control_density": f"""WITH {_ONCE}, {_GIVEN}, c AS (SELECT utt_id, count(*) AS c FROM given WHERE type <> 'style' GROUP BY utt_id),
+w AS (SELECT utt_id, count(*) AS w, count(DISTINCT clause_id) AS cl FROM words GROUP BY utt_id)
+SELECT lang, utt_id, CAST(sum(coalesce(c, 0)) AS BIGINT) AS n_controls, CAST(sum(w) AS BIGINT) AS n_words, CAST(sum(cl) AS BIGINT) AS n_clauses,
+  round(sum(coalesce(c, 0)) / sum(w), 6) AS per_word, round(sum(coalesce(c, 0)) / sum(cl), 6) AS per_clause
+FROM (SELECT coalesce(lang, 'unknown') AS lang, utt_id, w, cl, c FROM w LEFT JOIN c USING (utt_id) LEFT JOIN about USING (utt_id)) GROUP BY ROLLUP (lang, utt_id)""",
+    "label_counts": f"WITH {_GIVEN} SELECT type, value, count(*) AS n FROM (SELECT type, coalesce(value, 'None') AS value FROM given) GROUP BY ROLLUP (type, value)",
+    "clamp_rates": f"""WITH {_GIVEN} SELECT type, count(*) AS n, CAST(count(*) FILTER (WHERE abs(value_num) >= 3) AS BIGINT) AS n_clamped,
+  round(avg(CASE WHEN abs(value_num) >= 3 THEN 1.0 ELSE 0.0 END), 6) AS rate, round(avg(value_num), 6) AS mean_z, round(coalesce(stddev_samp(value_num), 0.0), 6) AS sd_z
+FROM given WHERE type IN ('speed', 'volume', 'pitch', 'emphasis') AND value_num IS NOT NULL GROUP BY type""",
 }
