@@ -6,6 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once.
+
+    Catalyst copies an expression to each place it is used; inside a lambda it would run for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def hop_length(sr: Column, hop_ms: int = 10) -> Column:
     return F.greatest(F.lit(1), F.floor(F.lit(hop_ms) * sr / 1000).cast("int"))
 
@@ -17,8 +25,11 @@ def fft_length(sr: Column, frame_ms: int) -> Column:
 
 
 def frame_index(seconds: Column, sr: Column, hop: Column) -> Column:
-    """Frame of a time, truncated toward zero; the operands keep this order since the product is rounded."""
-    return (seconds * (sr / hop)).cast("int")
+    """Frame of a time, truncated toward zero; the operands keep this order since the product is rounded.
+
+    Times beyond any recording are cut to a bound that no frame number reaches.
+    """
+    return F.greatest(F.lit(-1e15), F.least(F.lit(1e15), seconds * (sr / hop))).cast("bigint")
 
 
 def time_slice(frames: Column, start: Column, end: Column, sr: Column, hop: Column) -> Column:
@@ -32,13 +43,13 @@ def time_slice(frames: Column, start: Column, end: Column, sr: Column, hop: Colu
     a, b = clip(index(start)), clip(index(end))
     empty = F.array().cast("array<double>")
     ok = frames.isNotNull() & start.isNotNull() & end.isNotNull() & ~F.isnan(start) & ~F.isnan(end)
-    return F.when(ok, F.slice(frames.cast("array<double>"), a + 1, F.greatest(b - a, F.lit(0)))).otherwise(empty)
+    part = F.slice(frames, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")).cast("array<double>")
+    return F.when(ok, part).otherwise(empty)
 
 
 def mean(values: Column) -> Column:
     """Mean of an array; null if it is empty."""
-    total = F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
-    return F.when(F.size(values) > 0, total / F.size(values))
+    return let(values, lambda v: F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda s, x: s + x) / F.size(v)))
 
 
 def mean_or_zero(values: Column) -> Column:
@@ -52,23 +63,35 @@ def voiced(f0: Column) -> Column:
 
 
 def speaker_baseline(f0: Column, least_frames: int = 5, least_std: float = 10.0) -> Column:
-    """``struct(mean, std)`` of all voiced frames, sample deviation of at least ``least_std``; null under ``least_frames``."""
-    v = voiced(f0.cast("array<double>"))
-    n = F.size(v)
-    m = mean(v)
-    square = F.aggregate(v, F.lit(0.0), lambda s, x: s + (x - m) * (x - m))
-    std = F.greatest(F.sqrt(square / (n - 1)), F.lit(least_std))
-    return F.when(n >= least_frames, F.struct(m.alias("mean"), std.alias("std")))
+    """``struct(mean, std)`` of all voiced frames, sample deviation of at least ``least_std``; null under ``least_frames``.
+
+    One pass over the frames, with the running mean and squares about it.
+    """
+    start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n = acc["n"] + 1
+        new = acc["mean"] + (x - acc["mean"]) / n
+        return F.struct(n.alias("n"), new.alias("mean"), (acc["m2"] + (x - acc["mean"]) * (x - new)).alias("m2"))
+
+    def finish(acc: Column) -> Column:
+        std = F.greatest(F.sqrt(acc["m2"] / (acc["n"] - 1)), F.lit(least_std))
+        return F.when(acc["n"] >= least_frames, F.struct(acc["mean"].alias("mean"), std.alias("std")))
+
+    return F.aggregate(voiced(f0.cast("array<double>")), start, add, finish)
 
 
 def percentile_10(values: Column) -> Column:
     """Linearly interpolated tenth percentile of an array; null if it is empty."""
-    ordered = F.sort_array(values)
-    at = (F.size(values) - 1) * F.lit(0.1)
-    lo = F.floor(at).cast("int")
-    low = F.get(ordered, lo)
-    high = F.coalesce(F.get(ordered, lo + 1), low)
-    return F.when(F.size(values) > 0, low + (high - low) * (at - lo))
+
+    def pick(ordered: Column) -> Column:
+        at = (F.size(ordered) - 1) * F.lit(0.1)
+        lo = F.floor(at).cast("int")
+        low = F.get(ordered, lo)
+        high = F.coalesce(F.get(ordered, lo + 1), low)
+        return F.when(F.size(ordered) > 0, low + (high - low) * (at - lo))
+
+    return let(F.sort_array(values), pick)
 
 
 def trim_silence(frames: Column, start: Column, end: Column, sr: Column, hop: Column, floor: float = 0.002) -> Column:
@@ -76,12 +99,16 @@ def trim_silence(frames: Column, start: Column, end: Column, sr: Column, hop: Co
 
     The end is the last loud frame's own time.  Unchanged if there is no frame or none is loud.
     """
-    part = time_slice(frames, start, end, sr, hop)
-    limit = F.greatest(percentile_10(part), F.lit(floor))
-    loud = F.filter(F.transform(part, lambda x, i: F.when(x > limit, i)), lambda i: i.isNotNull())
-    first = frame_index(start, sr, hop)
-    rate = sr / hop
-    moved = F.struct(
-        ((first + F.get(loud, F.lit(0))) / rate).alias("start"), ((first + F.get(loud, F.size(loud) - 1)) / rate).alias("end")
-    )
-    return F.when(F.size(loud) > 0, moved).otherwise(F.struct(start.alias("start"), end.alias("end")))
+    first, rate = frame_index(start, sr, hop), sr / hop
+
+    def move(loud: Column) -> Column:
+        moved = F.struct(
+            ((first + F.get(loud, F.lit(0))) / rate).alias("start"), ((first + F.get(loud, F.size(loud) - 1)) / rate).alias("end")
+        )
+        return F.when(F.size(loud) > 0, moved).otherwise(F.struct(start.alias("start"), end.alias("end")))
+
+    def loud_frames(part: Column) -> Column:
+        above = lambda limit: F.filter(F.transform(part, lambda x, i: F.when(x > limit, i)), lambda i: i.isNotNull())
+        return let(F.greatest(percentile_10(part), F.lit(floor)), above)
+
+    return let(let(time_slice(frames, start, end, sr, hop), loud_frames), move)

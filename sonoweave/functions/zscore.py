@@ -52,8 +52,9 @@ def shown(z: Column, labels: Sequence[str] = LEVELS, as_number: bool = False) ->
 
 
 def number(x: Column) -> Column:
-    """Shortest decimal form of a double: ``2.7``, ``-3.0``."""
-    return x.cast("string")
+    """Shortest decimal form of a double: ``2.7``, ``-3.0``, without an exponent for large numbers."""
+    plain = F.regexp_replace(x.try_cast("decimal(30,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.abs(x) < 1e7, x.cast("string")).otherwise(F.coalesce(plain, x.cast("string")))
 
 
 def pause_level(gap: Column, levels: Sequence[tuple[str, float | None]] = PAUSE_LEVELS) -> Column:

@@ -107,9 +107,12 @@ def volume_controls(words: DataFrame, frames: DataFrame, about: DataFrame, stats
 
 def _pitch_z(start: Column, end: Column, least: int) -> Column:
     """Speaker-relative score of a span's mean pitch; null without a baseline or with fewer than ``least`` voiced frames."""
-    part = A.voiced(A.time_slice(F.col("f0"), start, end, F.col("sr"), F.col("f0_hop")))
-    z = (A.mean(part) - F.col("_base.mean")) / F.col("_base.std")
-    return F.struct(F.when(F.size(part) >= least, z).alias("z"), A.mean(part).alias("f0"))
+
+    def score(part: Column) -> Column:
+        z = lambda m: F.struct(F.when(F.size(part) >= least, (m - F.col("_base.mean")) / F.col("_base.std")).alias("z"), m.alias("f0"))
+        return A.let(A.mean(part), z)
+
+    return A.let(A.voiced(A.time_slice(F.col("f0"), start, end, F.col("sr"), F.col("f0_hop"))), score)
 
 
 def _with_baseline(frames: DataFrame) -> DataFrame:

@@ -88,7 +88,14 @@ def _pause_level(g: str) -> str:
     return f"CASE WHEN {g} IS NULL THEN NULL {whens} ELSE '{Z.PAUSE_LEVELS[-1][0]}' END"
 
 
-_CLAMPED = f"round(greatest(-{Z.CLAMP}, least({Z.CLAMP}, z)), 2)"
+
+
+def _round(x: str, digits: int) -> str:
+    """Half away from zero on the shortest decimal form, as Spark rounds; multiplying first would make ties of near misses."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
+
+
+_CLAMPED = _round(f"greatest(-{Z.CLAMP}, least({Z.CLAMP}, z))", 2)
 
 _SPEED = """
 speeds AS (
@@ -114,7 +121,7 @@ _STYLE = "SELECT " + _COLS.format(o=0, t="style", v="style", n="NULL", p="min(po
 
 def _breaks(value: str) -> str:
     return (
-        "SELECT " + _COLS.format(o=1, t="break", v=value, n="round(gap, 1)", p="pos")
+        "SELECT " + _COLS.format(o=1, t="break", v=value, n=_round("gap", 1), p="pos")
         + f" FROM gapped WHERE pc IS NOT NULL AND {_pause_level('gap')} <> '{Z.PAUSE_LEVELS[0][0]}'"
     )
 
@@ -215,15 +222,26 @@ _FEATURES = """feats AS (
   SELECT lang_style, feature, coalesce(n, 0) AS n, coalesce(mean, 0.0) AS mean, coalesce(std, 0.0) AS std
   FROM (SELECT lang_style, unnest({names}) AS feature FROM (SELECT DISTINCT lang_style FROM st)) LEFT JOIN st USING (lang_style, feature)
 )"""
-_CALIBRATION = f"WITH {_ONCE}, " + _FEATURES.format(more="", names=repr(list(FEATURES)))
+#: The words with times in the recording only.
+_TIMED = _ONCE.replace(
+    """  SELECT utt_id, source, wi, pos, clause_id, sent_id, text, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e
+  FROM lw WHERE type = 'word'""",
+    """  SELECT utt_id, source, wi, pos, clause_id, sent_id, text, CASE WHEN ok THEN start END AS s, CASE WHEN ok THEN "end" END AS e
+  FROM (
+    SELECT lw.*, isfinite(start) AND isfinite("end") AND start >= 0 AND "end" > start AND (d IS NULL OR "end" <= d) AS ok
+    FROM lw LEFT JOIN (SELECT utt_id, max(duration_s) AS d FROM utterances GROUP BY utt_id) USING (utt_id) WHERE type = 'word'
+  )""",
+)
+assert _TIMED != _ONCE
+_CALIBRATION = f"WITH {_TIMED}, " + _FEATURES.format(more="", names=repr(list(FEATURES)))
 _FRAME_FEATURES = """
   UNION ALL SELECT utt_id, 'energy', list_avg(en) FROM sl WHERE len(en) > 0
   UNION ALL SELECT utt_id, 'word_energy', list_avg(en) FROM slw WHERE len(en) > 0"""
-_ROUNDED = "SELECT lang_style, feature, n, round(mean, 6) AS mean, round(std, 6) AS std FROM "
+_ROUNDED = "SELECT lang_style, feature, n, round(mean, 9) AS mean, round(std, 9) AS std FROM "
 
 _INTERVALS = """
 WITH i AS (
-  SELECT utt_id, type AS seg_type, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e
+  SELECT DISTINCT utt_id, type AS seg_type, CAST(round(start * 1000) AS BIGINT) AS s, CAST(round("end" * 1000) AS BIGINT) AS e
   FROM segments WHERE type IN ('clause', 'sentence') AND isfinite(start) AND isfinite("end")
 ), m AS (
   SELECT *, max(e) OVER (PARTITION BY utt_id, seg_type ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
@@ -331,7 +349,7 @@ SELECT utt_id, clause_id, round(speed, 6) AS speed, z, coalesce(abs(z) > {Z.THRE
   CASE WHEN z IS NOT NULL THEN greatest(-{Z.CLAMP}, least({Z.CLAMP}, z)) END AS clamped FROM r""",
     "style_controls": f"WITH {_ONCE} {_STYLE}",
     "pause_controls": f"WITH {_ONCE} {_breaks(_pause_level('gap'))}",
-    "pause_controls_number": f"WITH {_ONCE} {_breaks('CAST(round(gap, 1) AS VARCHAR)')}",
+    "pause_controls_number": f"WITH {_ONCE} {_breaks(f"CAST({_round('gap', 1)} AS VARCHAR)")}",
     "speed_controls": f"WITH {_ONCE}, {_SPEED} {_scored('speed', 2, Z.SPEED_LEVELS, 'zs')}",
     "volume_controls": f"WITH {_ONCE}, {_FRAMES}, {_VOLUME} {_scored('volume', 3, Z.VOLUME_LEVELS, 'zs')}",
     "pitch_controls": f"WITH {_ONCE}, {_FRAMES}, {_PITCH} {_scored('pitch', 4, Z.LEVELS, 'zs')}",
@@ -364,15 +382,15 @@ FROM ctx q LEFT JOIN cx cr ON cr.utt_id = q.utt_id AND cr.pos = q.cp LEFT JOIN c
 SELECT utt_id, wi, CAST(generate_subscripts(f, 1) - 1 AS INT) AS n, unnest(f) AS span, regexp_extract(unnest(f), '\[([^=\]]*)', 1) AS label FROM x
 UNION ALL SELECT utt_id, wi, CAST(len(f) AS INT), coalesce(text, ''), CASE WHEN len(f) > 0 THEN regexp_extract(f[1], '\[([^=\]]*)', 1) END FROM x""",
     "calibration": f"{_CALIBRATION} {_ROUNDED} grid",
-    "calibration_with_frames": f"WITH {_ONCE}, {_FRAMES}, {_framed('(SELECT * FROM cl WHERE e - s > 0)')}, "
+    "calibration_with_frames": f"WITH {_TIMED}, {_FRAMES}, {_framed('(SELECT * FROM cl WHERE e - s > 0)')}, "
     + _framed("(SELECT * FROM words WHERE e - s > 0)").replace("sl AS", "slw AS", 1) + ", " + _FEATURES.format(more=_FRAME_FEATURES, names=repr(list(FEATURES))) + f" {_ROUNDED} grid",
     "resumed_calibration": f"""{_CALIBRATION}, u AS (
   SELECT * FROM grid WHERE n > 0 UNION ALL SELECT lang_style, feature, n, mean, std FROM population_stats WHERE n > 0
 ), t AS (SELECT lang_style, feature, sum(n) AS tn, sum(n * mean) / sum(n) AS tm FROM u GROUP BY ALL)
-SELECT lang_style, feature, CAST(any_value(tn) AS BIGINT) AS n, round(any_value(tm), 6) AS mean,
-  round(CASE WHEN any_value(tn) > 1 THEN sqrt(sum(std * std * (n - 1) + n * (mean - tm) * (mean - tm)) / (any_value(tn) - 1)) ELSE 0.0 END, 6) AS std
+SELECT lang_style, feature, CAST(any_value(tn) AS BIGINT) AS n, round(any_value(tm), 9) AS mean,
+  round(CASE WHEN any_value(tn) > 1 THEN sqrt(sum(std * std * (n - 1) + n * (mean - tm) * (mean - tm)) / (any_value(tn) - 1)) ELSE 0.0 END, 9) AS std
 FROM u JOIN t USING (lang_style, feature) GROUP BY lang_style, feature""",
-    "compared_calibration": f"{_CALIBRATION} SELECT lang_style, feature, g.n AS n_found, p.n AS n_shipped, round(g.mean - p.mean, 6) AS mean_diff FROM grid g JOIN population_stats p USING (lang_style, feature)",
+    "compared_calibration": f"{_CALIBRATION} SELECT lang_style, feature, g.n AS n_found, p.n AS n_shipped, round(g.mean - p.mean, 9) AS mean_diff FROM grid g JOIN population_stats p USING (lang_style, feature)",
     "control_density": f"""WITH {_ONCE}, {_GIVEN}, c AS (SELECT utt_id, count(*) AS c FROM given WHERE type <> 'style' GROUP BY utt_id),
 w AS (SELECT utt_id, count(*) AS w, count(DISTINCT clause_id) AS cl FROM words GROUP BY utt_id)
 SELECT lang, utt_id, CAST(sum(coalesce(c, 0)) AS BIGINT) AS n_controls, CAST(sum(w) AS BIGINT) AS n_words, CAST(sum(cl) AS BIGINT) AS n_clauses,
