@@ -19,7 +19,7 @@ def a_weighting_db(freqs: np.ndarray, floor_db: float = -80.0) -> np.ndarray:
     # The curve's pole frequencies in Hz.
     p1, p2, p3, p4 = (x * x for x in (20.598997, 107.65265, 737.86223, 12194.217))
     with np.errstate(divide="ignore"):
-        gain = 2.0 + 20 * (np.log10(p4) + 2 * np.log10(f2) / 2 - np.log10(f2 + p1) - np.log10(f2 + p4) - 0.5 * np.log10(f2 + p2) - 0.5 * np.log10(f2 + p3))
+        gain = 2.0 + 20 * (np.log10(p4) + 2 * np.log10(f2) - np.log10(f2 + p1) - np.log10(f2 + p4) - 0.5 * np.log10(f2 + p2) - 0.5 * np.log10(f2 + p3))
     return np.maximum(gain, floor_db)
 
 

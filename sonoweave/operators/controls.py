@@ -36,10 +36,15 @@ def _control(kind: str, value: Column, number: Column, pos: str, info: Column) -
 
 
 def _with_stats(df: DataFrame, about: DataFrame, stats: DataFrame, feature: str, suffix: str = "") -> DataFrame:
-    """Add ``mean, std`` of a feature for the row's language and style; null where there are none."""
-    group = about.select("utt_id", T.lang_style(F.col("lang"), F.col("style")).alias("_g"))
+    """Add ``mean, std`` of a feature for the row's language and style; null where there are none.
+
+    An utterance that ``about`` does not know counts as one without language and style.
+    """
+    group = about.select("utt_id", F.col("lang").alias("_l"), F.col("style").alias("_s"))
     known = stats.where(F.col("feature") == feature).groupBy("lang_style").agg(F.max("mean").alias(f"mean{suffix}"), F.max("std").alias(f"std{suffix}"))
-    return df.join(group, "utt_id", "left").join(known, F.col("_g") == F.col("lang_style"), "left").drop("lang_style", "_g")
+    known = known.withColumnRenamed("lang_style", "_k")
+    joined = df.join(group, "utt_id", "left").withColumn("_g", T.lang_style(F.col("_l"), F.col("_s")))
+    return joined.join(known, F.col("_g") == F.col("_k"), "left").drop("_g", "_k", "_l", "_s")
 
 
 def _scored(df: DataFrame, kind: str, labels: Sequence[str], as_number: bool, info: Column) -> DataFrame:
