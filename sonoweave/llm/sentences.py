@@ -296,7 +296,8 @@ def sentences(text: str) -> list[tuple[int, int]]:
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             a = at[base + lo]
             b = at[base + hi - 1] + 1 if hi > lo else a
-            # signs without a shape after the last character belong to it
+            while b < len(text) and b > a and _one_sign().get(ord(text[b]), "") is None:
+                b += 1  # signs without a shape after the last character belong to it
             while a < b and text[a].isspace():
                 a += 1
             while b > a and text[b - 1].isspace():
