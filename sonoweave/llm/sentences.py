@@ -288,6 +288,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
         return []
     plain, at = view(text)
     at.append(len(text))
+    signs = _one_sign()
     out: list[tuple[int, int]] = []
     base = 0
     for line in plain.splitlines(keepends=True):
@@ -296,12 +297,12 @@ def sentences(text: str) -> list[tuple[int, int]]:
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             a = at[base + lo]
             b = at[base + hi - 1] + 1 if hi > lo else a
-            while b < len(text) and b > a and _one_sign().get(ord(text[b]), "") is None:
-                b += 1  # signs without a shape after the last character belong to it
             while a < b and text[a].isspace():
                 a += 1
             while b > a and text[b - 1].isspace():
                 b -= 1
+            while a < b < len(text) and ord(text[b]) > 127 and signs.get(ord(text[b]), "") is None:
+                b += 1  # signs without a shape that follow directly belong to it
             if b > a:
                 out.append((a, b))
         base += len(line)

@@ -38,10 +38,9 @@ def test_nothing(text):
 
 
 def test_positions_refer_to_the_stored_text():
-    text = "  M‍r.\xa0Fоrd ｓａｗ it.  Тhe ﬁre.\nno mark ​"
+    text = "  M\u200dr.\xa0F\u043erd \uff53\uff41\uff57 it.\u200b  \u0422he \ufb01re.\nno mark \u200b"
     got = [text[a:b] for a, b in S.sentences(text)]
-    assert got == ["M‍r.\xa0Fоrd ｓａｗ it.​", "Тhe ﬁre.", "no mark"]
-    assert all(not g[0].isspace() and not g[-1].isspace() for g in got)
+    assert got == ["M\u200dr.\xa0F\u043erd \uff53\uff41\uff57 it.\u200b", "\u0422he \ufb01re.", "no mark"]
 
 
 def test_unclosed_quotation_runs_to_the_line_end():
