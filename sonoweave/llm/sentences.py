@@ -3,10 +3,9 @@
 A rule is a pair of regular expressions, one that ends at a position and one
 that starts there, with a verdict.  At each candidate position the rules of a
 language are tried in order and the first whose two sides both match decides.
-Languages cascade: a language's table starts with its own rules and goes on with
-the common ones.  Which table a text needs is seen from its script and, for
-Latin script, all Latin tables apply together, since the stored language is
-often missing or wrong and texts mix languages.
+Rules cascade: the languages' tables of abbreviations, months and verbs of saying
+come first, the common rules after them.  All languages' tables apply together,
+since the stored language is often missing or wrong and texts mix languages.
 
 Before the rules run, a text is read through a *view*: invisible characters are
 skipped, width forms and look-alikes stand for the plain letter, all kinds of
@@ -39,7 +38,7 @@ NEVER_LAST = {
     "de": ["Dr", "Hr", "Fr", "Prof", "Nr", "ca", "bzw", r"z\.\s?B", r"d\.\s?h", r"u\.\s?a", r"o\.\s?ä", "vgl", "evtl", "ggf"],
     "fr": ["MM", "Mme", "Mlle", "Dr", "env", r"c\.-[aà]-d", "cf"],
     "es": ["Sr", "Sra", "Srta", "Dra?", "Dña", "Uds?", "aprox", r"p\.\s?ej", "pág", "núm"],
-    "ru": [r"т\.\s?е", r"т\.\s?к", "ул", "стр", "см", "гл", "проф"],
+    "ru": [r"т\.\s?[еe]", r"т\.\s?к", "ул", "стр", "см", "гл", "проф"],
 }
 #: A number follows.
 BEFORE_NUMBER = ["no", "nos", "vol", "vols", "pp?", "fig", "art", "chap", "ch", "sec", "Nr", "Bd", "S", "pág", "núm", "стр", "с", "гл", "рис"]
@@ -84,6 +83,10 @@ def _one_sign() -> dict[int, str | None]:
     return out
 
 
+#: Letters of Russian that no Latin letter looks like.
+_RUSSIAN = regex.compile(r"[бвгджзийклмнптфцчшщъыьэюяё]", regex.IGNORECASE)
+
+
 @cache
 def _alike() -> tuple[dict[str, str], dict[str, str]]:
     """Look-alike letters to Latin, and Latin letters to the Cyrillic ones they look like."""
@@ -115,13 +118,25 @@ def view(text: str) -> tuple[str, list[int]]:
             chars.append(c)
             at.append(i)
     plain = "".join(chars)
-    if not plain.isascii():
-        letters = len(regex.findall(r"\p{Latin}", plain))
-        russian = len(regex.findall(r"[бвгджзийклмнптфцчшщъыьэюя]", plain, regex.IGNORECASE))
-        latin, cyrillic = _alike()
-        swap = cyrillic if russian > letters else latin
-        plain = "".join(swap.get(c, c) for c in plain)
-    return plain, at
+    return (plain if plain.isascii() else _one_script(plain)), at
+
+
+def _one_script(plain: str) -> str:
+    """Look-alike letters to the script of their word, as its other letters show it; else to that of the text."""
+    latin, cyrillic = _alike()
+    russian = len(regex.findall(_RUSSIAN, plain)) > len(regex.findall(r"\p{Latin}", plain))
+
+    def settle(word: regex.Match) -> str:
+        w = word.group()
+        if w.isascii() and not russian:
+            return w
+        if regex.search(_RUSSIAN, w):
+            return "".join(cyrillic.get(c, c) for c in w)
+        if russian and all(c in cyrillic or c in latin for c in w):
+            return "".join(cyrillic.get(c, c) for c in w)
+        return "".join(latin.get(c, c) for c in w)
+
+    return regex.sub(r"\p{L}+", settle, plain)
 
 
 def _any(words: list[str]) -> str:
@@ -137,14 +152,15 @@ _START = r"[\p{Lu}\p{Lt}\p{Lo}\p{N}“„«「『(（\[\"'‘¿¡—–-]"
 
 
 @cache
-def rules(script: str) -> tuple[tuple[bool, regex.Pattern, regex.Pattern], ...]:
-    """The cascade of a script (latin, cyrillic, cjk): ``(breaks, before, after)`` in order of precedence."""
-    langs = {"latin": ("en", "de", "fr", "es"), "cyrillic": ("ru",), "cjk": ("en", "de", "fr", "es")}[script]
+def rules() -> tuple[tuple[bool, regex.Pattern, regex.Pattern], ...]:
+    """The cascade: ``(breaks, before, after)`` in order of precedence, the languages' own tables before the common rules."""
+    langs = ("en", "de", "fr", "es", "ru")
     never = _any(_flat(NEVER_LAST, *langs))
     maybe = _any(_flat(MAYBE_LAST, *langs))
     says = _any(_flat(REPORTING, *langs))
     name = r"(?:\p{Lu}[\p{L}'’-]*\.?|[\p{Lu}]\.)"
-    close = r"[”»」』\"“’)）\]】》›]*"
+    # French sets a space between the mark and the closing sign
+    close = r"(?:\s?[»›]|[”」』\"“’)）\]】》])*"
     word = r"(?<![\p{L}\p{N}])(?<!\p{L}\.)"
     first, second = FIRST_LETTERS
     months, counted = _any(MONTHS), _any(BEFORE_NUMBER)
@@ -181,10 +197,10 @@ def rules(script: str) -> tuple[tuple[bool, regex.Pattern, regex.Pattern], ...]:
         (True, r"(?:…+|\.\.+)[”»」』\"“’)）]*", rf"(?:\s+|){_START}"),
         (False, r"(?:…+|\.\.+)", r"\s*\S"),
         # abbreviations that may end a sentence
-        (True, rf"(?i:{word}{maybe})\.{close}", rf"\s+{_START}|[“„«「]|[\p{{Han}}\p{{Katakana}}\p{{Hiragana}}]|\p{{Lu}}\p{{Ll}}"),
+        (True, rf"(?i:{word}{maybe})\.{close}", rf"\s+{_START}|[“„«「\"¿¡]|[\p{{Han}}\p{{Katakana}}\p{{Hiragana}}]|\p{{Lu}}[\p{{Ll}}.'’]"),
         (False, rf"(?i:{word}{maybe})\.", r"\s*\S"),
         # a quotation or bracket that ends with a mark: the sentence goes on in lower case or after a comma
-        (False, rf"[{MARKS}][”»」』\"“’)）\]】》›]+", r"\s*[\p{Ll},;:，；：、—–]"),
+        (False, rf"[{MARKS}](?:\s?[»›]|[”」』\"“’)）\]】》])+", r"\s*[\p{Ll},;:，；：、—–]"),
         (False, r"[)）\]】》›]", r"\s?[^\s]"),
         # final marks
         (True, rf"[.!?。！？｡]{close}", r"\s+\S"),
@@ -226,15 +242,9 @@ def shielded(line: str) -> list[tuple[int, int]]:
     return out
 
 
-def _script(line: str) -> str:
-    if regex.search(r"[\p{Han}\p{Hiragana}\p{Katakana}]", line):
-        return "cjk"
-    return "cyrillic" if len(regex.findall(r"\p{Cyrillic}", line)) > len(regex.findall(r"\p{Latin}", line)) else "latin"
-
-
 def line_breaks(line: str) -> list[int]:
     """Positions in a line (of the view) where a sentence ends and another starts."""
-    table = rules(_script(line))
+    table = rules()
     shields = shielded(line)
     inside = bytearray(len(line) + 1)
     for lo, hi in shields:
