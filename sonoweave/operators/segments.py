@@ -137,7 +137,7 @@ def listed_words(segments: DataFrame) -> DataFrame:
 
 def clauses(words: DataFrame) -> DataFrame:
     """``utt_id, clause_id, n_words, first_pos, start, end, paused``: ``paused`` sums the gaps over 0.2 s inside the clause."""
-    order = Window.partitionBy("utt_id").orderBy("wi")
+    order = Window.partitionBy("utt_id").orderBy("pos")  # a prefix of the order that listing the words has made
     gap = F.when(F.lag("clause_id").over(order) == F.col("clause_id"), F.col("start") - F.lag("end").over(order))
     return (
         words.withColumn("_g", gap)
@@ -157,7 +157,7 @@ def effective_duration(clamp: bool = False) -> Column:
 
 def pauses(words: DataFrame) -> DataFrame:
     """``utt_id, wi, pos, gap, inter_clause`` for each word but the first: time since the previous word's end."""
-    order = Window.partitionBy("utt_id").orderBy("wi")
+    order = Window.partitionBy("utt_id").orderBy("pos")  # a prefix of the order that listing the words has made
     return words.select(
         "utt_id", "wi", "pos", (F.col("start") - F.lag("end").over(order)).alias("gap"),
         (F.lag("clause_id").over(order) != F.col("clause_id")).alias("inter_clause"),

@@ -15,6 +15,7 @@ from sonoweave.functions import text as T
 from sonoweave.functions import zscore as Z
 from sonoweave.functions.wer import word_error_rate
 from sonoweave.operators import align, calibrate, compose, controls, intervals, quality, segments, spikes
+from sonoweave.plans import flagship
 from sonoweave.session import table
 from sonoweave.sources import config, tree
 
@@ -337,6 +338,12 @@ def formatted_controls(spark, d):
 @query
 def control_text(spark, d):
     """Flagship: every utterance's text with its style, pause, speed and emotion tags, at most two per clause."""
+    return flagship.control_text(_words(spark, d), _about(spark, d), _stats(spark, d), table(spark, d, "emotion_scores"), 2)
+
+
+@query
+def control_text_by_steps(spark, d):
+    """The same by extracting, uniting, limiting and rendering one after another."""
     words = _words(spark, d)
     return compose.control_text(words, compose.limit_per_clause(_all_controls(spark, d), words, 2))
 

@@ -401,3 +401,4 @@ FROM (SELECT coalesce(lang, 'unknown') AS lang, utt_id, w, cl, c FROM w LEFT JOI
   round(avg(CASE WHEN abs(value_num) >= 3 THEN 1.0 ELSE 0.0 END), 6) AS rate, round(avg(value_num), 6) AS mean_z, round(coalesce(stddev_samp(value_num), 0.0), 6) AS sd_z
 FROM given WHERE type IN ('speed', 'volume', 'pitch', 'emphasis') AND value_num IS NOT NULL GROUP BY type""",
 }
+SQL["control_text_by_steps"] = SQL["control_text"]
