@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonoweave.functions import text as T
+from sonoweave.functions.frames import let
 
 
 def with_groups(words: DataFrame, key: str = "utt_id") -> DataFrame:
@@ -63,20 +64,27 @@ def interleave(words: DataFrame, key: str, start: str = "start", end: str = "end
     """``key, pos, type, text, start, end``: word rows with the clause and sentence rows they close.
 
     A group starts with its first word, ends with its last and has their text without the spaces that
-    Chinese does not write.
+    Chinese does not write.  A clause lies in one sentence, so both are nested groups of one lineage: the words
+    are made and moved once, and a row holds one sentence at a time.
     """
-    rows = words.select(key, "pos", F.lit("word").alias("type"), "text", start, end)
-
-    def groups(kind: str, group_id: str, offset: int) -> DataFrame:
-        member = F.struct("wi", "text", "pos", start, end)
-        listed = words.groupBy(key, group_id).agg(F.sort_array(F.collect_list(member)).alias("m"))
-        last = F.element_at("m", -1)
-        return listed.select(
-            key, (last["pos"] + offset).alias("pos"), F.lit(kind).alias("type"), T.join_tokens(F.transform("m", lambda x: x["text"])).alias("text"),
-            F.col("m")[0][start].alias(start), last[end].alias(end),
-        )
-
-    return rows.unionByName(groups("clause", "clause_id", 1)).unionByName(groups("sentence", "sent_id", 2))
+    member = F.struct("wi", "text", "pos", F.col(start).alias("s"), F.col(end).alias("e"))
+    clause = words.groupBy(key, "sent_id", "clause_id").agg(F.sort_array(F.collect_list(member)).alias("m"))
+    sentence = clause.groupBy(key, "sent_id").agg(F.sort_array(F.collect_list(F.struct("clause_id", "m"))).alias("c"))
+
+    def row(kind: str, pos: Column, text: Column, first: Column, last: Column) -> Column:
+        return F.struct(pos.alias("pos"), F.lit(kind).alias("type"), text.alias("text"), first["s"].alias(start), last["e"].alias(end))
+
+    def group(kind: str, m: Column, offset: int) -> Column:
+        last = F.element_at(m, -1)
+        return row(kind, last["pos"] + offset, T.join_tokens(F.transform(m, lambda w: w["text"])), F.get(m, F.lit(0)), last)
+
+    def of_clause(c: Column) -> Column:
+        return F.concat(F.transform(c["m"], lambda w: row("word", w["pos"], w["text"], w, w)), F.array(group("clause", c["m"], 1)))
+
+    all_words = F.flatten(F.transform("c", lambda c: c["m"]))
+    whole = let(all_words, lambda m: group("sentence", m, 2))
+    rows = F.concat(F.flatten(F.transform("c", of_clause)), F.array(whole))
+    return sentence.select(key, F.explode(rows).alias("r")).select(key, "r.pos", "r.type", "r.text", f"r.{start}", f"r.{end}")
 
 
 def attach_times(tokens: DataFrame, items: DataFrame) -> DataFrame:
