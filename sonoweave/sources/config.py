@@ -85,3 +85,29 @@ def write_stats(stats: DataFrame, path: str) -> None:
 
 def empty_stats(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], POPULATION_STATS)
+
+
+# Statistics of a small sample, used until a calibration replaces them; (n, mean, std) by group and feature.
+DEFAULT_POPULATION_STATS = {
+    "zh_read": {
+        "speed": (13, 4.88, 0.45), "energy": (13, 0.031, 0.016), "loudness_lufs": (13, -18.3, 3.6),
+        "duration": (13, 2.93, 2.37), "word_duration": (155, 0.195, 0.072), "word_energy": (155, 0.031, 0.025),
+    },
+    "en_read": {
+        "speed": (9, 2.88, 0.58), "energy": (9, 0.020, 0.003), "loudness_lufs": (9, -20.3, 1.1),
+        "duration": (9, 3.58, 2.77), "word_duration": (88, 0.318, 0.214), "word_energy": (88, 0.021, 0.012),
+    },
+    "zh_emotion": {
+        "speed": (5, 5.73, 0.96), "energy": (5, 0.020, 0.011), "loudness_lufs": (5, -23.8, 5.2),
+        "duration": (5, 2.91, 0.91), "word_duration": (74, 0.162, 0.073), "word_energy": (74, 0.020, 0.015),
+    },
+    "en_emotion": {
+        "speed": (7, 3.72, 0.74), "energy": (7, 0.010, 0.003), "loudness_lufs": (7, -27.9, 3.3),
+        "duration": (7, 1.16, 0.36), "word_duration": (29, 0.244, 0.178), "word_energy": (29, 0.011, 0.008),
+    },
+}
+
+
+def default_stats(spark: SparkSession) -> DataFrame:
+    rows = [(g, f, n, m, s) for g, features in DEFAULT_POPULATION_STATS.items() for f, (n, m, s) in features.items()]
+    return spark.createDataFrame(rows, POPULATION_STATS)
