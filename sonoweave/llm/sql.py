@@ -40,3 +40,39 @@ SELECT d.doc_id, CAST(coalesce(length(d.text), 0) AS BIGINT) AS n_chars, CAST(co
   CASE WHEN length(d.text) > 0 THEN coalesce(c, 0) / length(d.text) ELSE 0.0 END AS share
 FROM documents d LEFT JOIN amounts USING (doc_id)""",
 }
+
+#: White space as the operators strip it.
+_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+
+#: Sentence rows with their longer copy, chr(1) in it for an unknown word, and whether they stop before it does.
+_CUTS = rf"""
+WITH seg AS (SELECT DISTINCT ON (seg_id) seg_id, utt_id, source, pos, type, text FROM segments ORDER BY seg_id, loaded_at),
+near AS (
+  SELECT *, min(CASE WHEN type = 'sentence' THEN pos END) OVER o AS sp, min(CASE WHEN type = 'clause' THEN pos END) OVER o AS cp
+  FROM seg WINDOW o AS (PARTITION BY utt_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), clauses AS (
+  SELECT utt_id, sp, CASE WHEN cp < sp THEN cp ELSE sp END AS place,
+    bool_or(type = 'word' AND text IS NULL) AS unknown, max(CASE WHEN type = 'clause' THEN regexp_replace(text, '{_SPACE}', '', 'g') END) AS whole,
+    string_agg(coalesce(regexp_replace(text, '{_SPACE}', '', 'g'), chr(1)), '' ORDER BY pos) FILTER (WHERE type = 'word') AS parts
+  FROM near WHERE sp IS NOT NULL AND type <> 'sentence' GROUP BY ALL
+), copies AS (
+  SELECT utt_id, sp, string_agg(CASE WHEN unknown AND whole IS NOT NULL THEN whole ELSE parts END, '' ORDER BY place) AS copy FROM clauses GROUP BY utt_id, sp
+), pairs AS (
+  SELECT seg_id, source, rtrim(regexp_replace(text, '{_SPACE}', '', 'g'), '�') AS t, copy, split_part(copy, chr(1), 1) AS head
+  FROM seg s LEFT JOIN copies c ON c.utt_id = s.utt_id AND c.sp = s.pos WHERE type = 'sentence' AND text IS NOT NULL
+), cuts AS (
+  SELECT seg_id, source, CASE
+    WHEN copy IS NULL THEN false
+    WHEN NOT contains(copy, chr(1)) THEN starts_with(copy, t) AND copy <> t
+    WHEN length(t) < length(head) THEN starts_with(head, t)
+    WHEN NOT starts_with(t, head) THEN false
+    ELSE NOT regexp_matches(t, '(?s)^' || replace(regexp_escape(copy), regexp_escape(chr(1)), '.+')) END AS cut
+  FROM pairs
+)
+"""
+
+SQL |= {
+    "p4_found": _CUTS + "SELECT seg_id FROM cuts WHERE cut",
+    "p4_by_source": _CUTS
+    + "SELECT source, count(*) AS sentences, CAST(sum(CAST(cut AS INT)) AS BIGINT) AS cut, sum(CAST(cut AS INT)) / count(*) AS cut_share FROM cuts GROUP BY source",
+}
