@@ -402,3 +402,21 @@ FROM (SELECT coalesce(lang, 'unknown') AS lang, utt_id, w, cl, c FROM w LEFT JOI
 FROM given WHERE type IN ('speed', 'volume', 'pitch', 'emphasis') AND value_num IS NOT NULL GROUP BY type""",
 }
 SQL["control_text_by_steps"] = SQL["control_text"]
+
+SQL["trimmed_words"] = f"""WITH {_ONCE}, {_FRAMES}, {_framed("words")}, th AS (
+  SELECT *, greatest(list_aggregate(en, 'quantile_cont', 0.1), 0.002) AS lim FROM sl
+), ld AS (SELECT *, list_filter(range(1, len(en) + 1), lambda i: en[i] > lim) AS loud FROM th),
+mv AS (
+  SELECT utt_id, wi, CASE WHEN len(loud) > 0 THEN (trunc(s * 10.0) + loud[1] - 1) / 10.0 ELSE s END AS ns,
+    CASE WHEN len(loud) > 0 THEN (trunc(s * 10.0) + loud[-1] - 1) / 10.0 ELSE e END AS ne FROM ld
+)
+SELECT w.utt_id, w.wi, round(coalesce(ns, s), 6) AS start, round(coalesce(ne, e), 6) AS "end" FROM words w LEFT JOIN mv USING (utt_id, wi)"""
+
+_KNOWN = "(SELECT utt_id, max(text) AS text, max(trim(lang, ' ')) AS lang FROM utterances GROUP BY utt_id)"
+SQL["aligned_words"] = (
+    f"WITH {_ONCE},"
+    + _ATTACH.replace("FROM utterances {where} GROUP BY utt_id", f"FROM {_KNOWN} WHERE {_LANG} <> lang GROUP BY utt_id").replace("{{", "{").replace("}}", "}")
+    + ","
+    + _grouped("att", "utt_id")
+    + ' SELECT utt_id, wi, pos, clause_id, sent_id, text, start, "end" FROM grp'
+)
