@@ -3,9 +3,11 @@
 A rule is a pair of regular expressions, one that ends at a position and one
 that starts there, with a verdict.  At each candidate position the rules of a
 language are tried in order and the first whose two sides both match decides.
-Rules cascade: the languages' tables of abbreviations, months and verbs of saying
-come first, the common rules after them.  All languages' tables apply together,
-since the stored language is often missing or wrong and texts mix languages.
+Each language has a table of rules; tables cascade tier by tier (tokens,
+abbreviations, quotations, pauses, possible endings, final marks), in each tier
+the languages' rules before the common ones.  All languages' tables apply
+together unless fewer are asked for, since the stored language is often missing
+or wrong and texts mix languages.
 
 Before the rules run, a text is read through a *view*: invisible characters are
 skipped, width forms and look-alikes stand for the plain letter, all kinds of
@@ -151,71 +153,99 @@ def _flat(table: dict[str, list[str]], *langs: str) -> list[str]:
 _START = r"[\p{Lu}\p{Lt}\p{Lo}\p{N}“„«「『(（\[\"'‘¿¡—–-]"
 
 
-@cache
-def rules() -> tuple[tuple[bool, regex.Pattern, regex.Pattern], ...]:
-    """The cascade: ``(breaks, before, after)`` in order of precedence, the languages' own tables before the common rules."""
-    langs = ("en", "de", "fr", "es", "ru")
-    never = _any(_flat(NEVER_LAST, *langs))
-    maybe = _any(_flat(MAYBE_LAST, *langs))
-    says = _any(_flat(REPORTING, *langs))
-    name = r"(?:\p{Lu}[\p{L}'’-]*\.?|[\p{Lu}]\.)"
-    # French sets a space between the mark and the closing sign
-    close = r"(?:\s?[»›]|[”」』\"“’)）\]】》])*"
-    word = r"(?<![\p{L}\p{N}])(?<!\p{L}\.)"
+#: A break or no-break pair: the verdict, what ends at the position, what starts there.
+Rule = tuple[bool, str, str]
+#: Order of precedence; within each, the languages' rules come before the common ones.
+TIERS = ("token", "abbreviation", "quotation", "pause", "ending", "mark")
+LANGUAGES = ("en", "de", "fr", "es", "ru", "zh", "ja")
+
+# French sets a space between the mark and the closing sign
+_CLOSE = r"(?:\s?[»›]|[”」』\"“’)）\]】》])*"
+_WORD_START = r"(?<![\p{L}\p{N}])(?<!\p{L}\.)"
+_NAME = r"(?:\p{Lu}[\p{L}'’-]*\.?|[\p{Lu}]\.)"
+_QUOTED = r"(?s:^\s*[\"“„«].*[\"”»“])"
+
+
+def language_table(lang: str) -> dict[str, list[Rule]]:
+    """The rules of one language by tier."""
+    table: dict[str, list[Rule]] = {tier: [] for tier in TIERS}
+    if lang in NEVER_LAST:
+        table["abbreviation"].append((False, rf"(?i:{_WORD_START}{_any(_flat(NEVER_LAST, lang))})\.", r"\s*[^\s\n]"))
+    if lang in MAYBE_LAST:
+        maybe = _any(_flat(MAYBE_LAST, lang))
+        starts = rf"\s+{_START}|[“„«「\"¿¡]|[\p{{Han}}\p{{Katakana}}\p{{Hiragana}}]|\p{{Lu}}[\p{{Ll}}.'’]"
+        table["ending"] += [(True, rf"(?i:{_WORD_START}{maybe})\.{_CLOSE}", starts), (False, rf"(?i:{_WORD_START}{maybe})\.", r"\s*\S")]
+    if lang in REPORTING:
+        says = rf"(?i:{_any(REPORTING[lang])})(?![\p{{L}}])"
+        table["quotation"] += [
+            # the reporting clause after a quotation: the verb, or a name and the verb; after a bare mark the verb only
+            (False, r"[\"”»“]", rf"\s*{says}"),
+            (False, _QUOTED, rf"\s(?:{_NAME}\s){{1,4}}{says}"),
+            (False, rf"[!?]{_CLOSE}", rf"\s?{says}(?!-)"),
+        ]
+    if lang in GOING_ON:
+        table["pause"].append((False, r"(?:…+|\.\.+)", rf"\s?{_any(GOING_ON[lang])}"))
+    if lang == "en":  # a clock time that opens the sentence leads on to its subject
+        table["abbreviation"].append((False, r"(?i:(?:^|[\n])\s*[\"“«„]?at \p{N}{1,2} ?[ap]\.\s?m)\.", r"\s"))
+    if lang == "de":  # ordinal numbers of dates
+        table["token"].append((False, r"(?<!\p{N})\p{N}{1,2}\.", rf"\s?(?i:{_any(MONTHS)})(?!\p{{L}})"))
+    if lang == "fr":  # only French sets a space before these marks
+        table["quotation"].append((False, r"\s[!?]", r"\s\p{Ll}"))
+    if lang == "zh":
+        quoted = r"(?s:^\s*[“\"「『].*[”\"」』])"
+        table["quotation"] += [
+            (False, quoted, rf"\s?[^\n。！？!?，,“”\"]{{1,24}}[{CHINESE_REPORTING}](?=[，,。！？：:]|$)"),
+            (False, quoted, r"\s?[^\n。！？!?，,“”\"]{1,16}\Z"),  # only the beginning of it, in a cut text
+        ]
+    if lang == "ja":
+        table["quotation"].append((False, r"[」』]", r"\s?(?:と|って|は|が|を|に|の|も)"))
+    return table
+
+
+def common_table() -> dict[str, list[Rule]]:
+    """The rules that hold in every language, by tier."""
     first, second = FIRST_LETTERS
-    months, counted = _any(MONTHS), _any(BEFORE_NUMBER)
-    table: list[tuple[bool, str, str]] = [
-        # numbers, versions, file names: no gap, more of the token follows
-        (False, r"[\p{N}]\.", r"\p{N}"),
-        (False, r"[\p{L}\p{N}_]\.", r"[a-z]{2,4}(?![\p{L}])(?<![.!?。！？])(?=[\s,;:.!?)”\"。，]|$)"),
-        (False, r"(?<!\p{N})\p{N}{1,2}\.", rf"\s?(?i:{months})(?!\p{{L}})"),
-        # abbreviations that never end a sentence
-        (False, rf"{word}{first}", second),
-        (False, rf"(?i:{word}{counted})\.", r"\s?\p{N}"),
-        (False, rf"(?i:{word}{never})\.", r"\s*[^\s\n]"),
-        # initials before a name or another initial
-        (False, rf"{word}\p{{Lu}}\.", r"\s?\p{Lu}"),
-        (False, rf"{word}{LETTER_TITLES}\.", r"\s?\p{L}"),
-        (False, r"^\s*\p{L}\.", r"\s?\S"),
-        # a clock time that opens the sentence leads on to its subject
-        (False, r"(?i:(?:^|[\n])\s*[\"“«„]?at \p{N}{1,2} ?[ap]\.\s?m)\.", r"\s"),
-        # reporting clauses after a quotation: a lower-case word, or a name and a verb of saying
-        (False, rf"[\"”»“]", rf"\s*(?i:{says})(?![\p{{L}}])"),
-        (False, rf"(?s:^\s*[\"“„«].*[\"”»“])", rf"\s(?:{name}\s){{1,4}}(?i:{says})(?![\p{{L}}])"),
-        (False, r"(?s:^\s*[“\"「『].*[”\"」』])", rf"\s?[^\n。！？!?，,“”\"]{{1,24}}[{CHINESE_REPORTING}](?=[，,。！？：:]|$)"),
-        # ... of which a cut text may have only the beginning
-        (False, r"(?s:^\s*[\"“„«].*[\"”»“])", rf"\s(?:{name}\s?){{1,3}}\Z"),
-        (False, r"(?s:^\s*[“\"「『].*[”\"」』])", r"\s?[^\n。！？!?，,“”\"]{1,16}\Z"),
-        (False, r"[」』]", r"\s?(?:と|って|は|が|を|に|の|も)"),
-        # marks without a quotation: the reporting clause follows in lower case
-        (False, rf"[!?]{close}", rf"\s?(?i:{says})(?![\p{{L}}-])"),
-        (False, r"\s[!?]", r"\s\p{Ll}"),  # a mark with a space before it is French
-        # pauses: the sentence goes on unless a new one visibly starts
-        (False, r"(?:…+|\.\.+)", _pause_goes_on()),
-        (False, r"\s\.\.+", r"\s?\S"),
-        (False, r"…", r"[\p{Lo}\p{Lm}]"),
-        (True, r"(?:…+|\.\.+)[”»」』\"“’)）]*", rf"(?:\s+|){_START}"),
-        (False, r"(?:…+|\.\.+)", r"\s*\S"),
-        # abbreviations that may end a sentence
-        (True, rf"(?i:{word}{maybe})\.{close}", rf"\s+{_START}|[“„«「\"¿¡]|[\p{{Han}}\p{{Katakana}}\p{{Hiragana}}]|\p{{Lu}}[\p{{Ll}}.'’]"),
-        (False, rf"(?i:{word}{maybe})\.", r"\s*\S"),
-        # a quotation or bracket that ends with a mark: the sentence goes on in lower case or after a comma
-        (False, rf"[{MARKS}](?:\s?[»›]|[”」』\"“’)）\]】》])+", r"\s*[\p{Ll},;:，；：、—–]"),
-        (False, r"[)）\]】》›]", r"\s?[^\s]"),
-        # final marks
-        (True, rf"[.!?。！？｡]{close}", r"\s+\S"),
-        (True, rf"[。！？｡]{close}", r"\S"),
-        (True, rf"(?:[!?]|[\p{{L}}\p{{N}})]\.){close}", rf"[\p{{Lu}}\p{{Lo}}“„«「『¿¡\"]|\p{{N}}"),
-    ]
-    return tuple((b, regex.compile(rf"(?:{x})\Z"), regex.compile(y)) for b, x, y in table)
-
-
-def _pause_goes_on() -> str:
-    words = _any([w for ws in GOING_ON.values() for w in ws])
-    return rf"\s?(?:{words}|[\p{{Ll}},;:，；、])"
-
-
-_CANDIDATE = regex.compile(rf"[.!?。！？｡…]+(?:[”»」』\"“’)）\]】》›]|(?<=[\s])[»])*")
+    return {
+        "token": [  # numbers, versions, file names: no gap, more of the token follows
+            (False, r"[\p{N}]\.", r"\p{N}"),
+            (False, r"[\p{L}\p{N}_]\.", r"[a-z]{2,4}(?![\p{L}])(?<![.!?。！？])(?=[\s,;:.!?)”\"。，]|$)"),
+        ],
+        "abbreviation": [
+            (False, rf"{_WORD_START}{first}", second),
+            (False, rf"(?i:{_WORD_START}{_any(BEFORE_NUMBER)})\.", r"\s?\p{N}"),
+            # initials and titles of one letter
+            (False, rf"{_WORD_START}\p{{Lu}}\.", r"\s?\p{Lu}"),
+            (False, rf"{_WORD_START}{LETTER_TITLES}\.", r"\s?\p{L}"),
+            (False, r"^\s*\p{L}\.", r"\s?\S"),
+        ],
+        "quotation": [(False, _QUOTED, rf"\s(?:{_NAME}\s?){{1,3}}\Z")],  # the beginning of a reporting clause, in a cut text
+        "pause": [  # the sentence goes on unless a new one visibly starts
+            (False, r"(?:…+|\.\.+)", r"\s?[\p{Ll},;:，；、]"),
+            (False, r"\s\.\.+", r"\s?\S"),
+            (False, r"…", r"[\p{Lo}\p{Lm}]"),
+            (True, r"(?:…+|\.\.+)[”»」』\"“’)）]*", rf"(?:\s+|){_START}"),
+            (False, r"(?:…+|\.\.+)", r"\s*\S"),
+        ],
+        "ending": [],
+        "mark": [
+            # a quotation or bracket that ends with a mark: the sentence goes on in lower case or after a comma
+            (False, rf"[{MARKS}](?:\s?[»›]|[”」』\"“’)）\]】》])+", r"\s*[\p{Ll},;:，；：、—–]"),
+            (False, r"[)）\]】》›]", r"\s?[^\s]"),
+            (True, rf"[.!?。！？｡]{_CLOSE}", r"\s+\S"),
+            (True, rf"[。！？｡]{_CLOSE}", r"\S"),
+            (True, rf"(?:[!?]|[\p{{L}}\p{{N}})]\.){_CLOSE}", rf"[\p{{Lu}}\p{{Lo}}“„«「『¿¡\"]|\p{{N}}"),
+        ],
+    }
+
+
+@cache
+def rules(langs: tuple[str, ...] = LANGUAGES) -> tuple[tuple[bool, regex.Pattern, regex.Pattern], ...]:
+    """The cascade of some languages: tier by tier, each language's table, then the common one."""
+    tables = [*map(language_table, langs), common_table()]
+    cascade = [rule for tier in TIERS for table in tables for rule in table[tier]]
+    return tuple((breaks, regex.compile(rf"(?:{before})\Z"), regex.compile(after)) for breaks, before, after in cascade)
+
+
 _OPEN_DOUBLE = '"'
 
 
@@ -242,9 +272,9 @@ def shielded(line: str) -> list[tuple[int, int]]:
     return out
 
 
-def line_breaks(line: str) -> list[int]:
+def line_breaks(line: str, langs: tuple[str, ...] = LANGUAGES) -> list[int]:
     """Positions in a line (of the view) where a sentence ends and another starts."""
-    table = rules()
+    table = rules(langs)
     shields = shielded(line)
     inside = bytearray(len(line) + 1)
     for lo, hi in shields:
@@ -292,7 +322,7 @@ def _candidates(line: str, inside: bytearray) -> Iterator[int]:
         i += 1
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
+def sentences(text: str, langs: tuple[str, ...] = LANGUAGES) -> list[tuple[int, int]]:
     """``(from, to)`` of each sentence of a text, code points, without white space at either end."""
     if not text or text.isspace():
         return []
@@ -303,7 +333,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
     base = 0
     for line in plain.splitlines(keepends=True):
         body = line.rstrip("\r\n\x0b\x0c\x1c\x1d\x1e\x85  ")
-        cuts = [0, *line_breaks(body), len(body)]
+        cuts = [0, *line_breaks(body, langs), len(body)]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             a = at[base + lo]
             b = at[base + hi - 1] + 1 if hi > lo else a
