@@ -16,6 +16,10 @@ all documents hold makes any group grow: there are no pairs within a group.
 order, with a gap cost, by a Fenwick tree over the partner's positions.  Each
 match lies in exactly one chain.  A chain is a passage, exact in its matches and
 fuzzy between them; the union of the matches is what is shared verbatim.
+
+*Passages.*  Two partners a window are enough to tell what is shared, not with whom.  There exact
+copies collapse into one text, blocks of different texts are linked where they have a window in common, and
+every two texts that share one are chained with each other.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonoweave.session import reliable
+
 #: Length of the seeds' k-mers.  Longer ones are fewer by chance (phrases are shared far below ``span``) but denser.
 SEED = 48
 #: Code points that are hashed at once in a worker.
@@ -212,13 +218,18 @@ def block_hits(blocks: DataFrame, span: int) -> DataFrame:
     return whole.unionByName(single)
 
 
-def matches(documents: DataFrame, span: int = 100, k: int = SEED) -> DataFrame:
-    """``doc_id, found``: per document its matches ``(at, hits)``, in no order; only documents that share something."""
-    texts = documents.where(F.col("doc_id").isNotNull() & (F.char_length("text") >= span)).select("doc_id", "text")
+def shared_blocks(texts: DataFrame, span: int, k: int) -> DataFrame:
+    """``h, doc_id, at, body, s`` of the blocks whose seed several of the given texts have; ``s`` is the hash of the body."""
     seeds = document_seeds(texts, span, k)
     shared = seeds.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     wanted = seeds.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
-    blocks = seed_blocks(texts.join(wanted, "doc_id"), span, k).withColumn("s", F.xxhash64("body"))
+    return seed_blocks(texts.join(wanted, "doc_id"), span, k).withColumn("s", F.xxhash64("body"))
+
+
+def matches(documents: DataFrame, span: int = 100, k: int = SEED) -> DataFrame:
+    """``doc_id, found``: per document its matches ``(at, hits)``, in no order; only documents that share something."""
+    texts = documents.where(F.col("doc_id").isNotNull() & (F.char_length("text") >= span)).select("doc_id", "text")
+    blocks = shared_blocks(texts, span, k)
     hits = block_hits(blocks, span)
     return (
         blocks.select("h", "s", "doc_id", "at")
@@ -228,6 +239,75 @@ def matches(documents: DataFrame, span: int = 100, k: int = SEED) -> DataFrame:
     )
 
 
+def body_windows(bodies: DataFrame, span: int) -> DataFrame:
+    """``h, s, j, g, r``: the windows of each body, by hash; ``r`` counts the earlier windows of the body that equal window ``j``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for h, s, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                g = kmer_hashes(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), span)
+                order = np.argsort(g, kind="stable")
+                fresh = np.ones(len(g), dtype=bool)
+                fresh[1:] = g[order][1:] != g[order][:-1]
+                places = np.arange(len(g))
+                r = np.empty(len(g), dtype=np.int64)
+                r[order] = places - np.maximum.accumulate(np.where(fresh, places, 0))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(g), h)), pa.array(np.full(len(g), s)), pa.array(places), pa.array(g.view(np.int64)), pa.array(r)],
+                    names=["h", "s", "j", "g", "r"],
+                )
+
+    return bodies.select("h", "s", "body").mapInArrow(run, "h bigint, s bigint, j bigint, g bigint, r bigint")
+
+
+def body_links(blocks: DataFrame, span: int) -> DataFrame:
+    """``h, s, s2, j, j2, n``: windows ``j .. j + n - 1`` of body ``s`` are windows ``j2 ..`` of body ``s2``; each two bodies once.
+
+    Bodies that several texts have are linked with themselves.  Equal windows within one body (it repeats
+    itself) meet those of the other body in order, first with first, so a run of one sign is not squared.
+    """
+    distinct = blocks.groupBy("h", "s").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.min("body").alias("body"))
+    zero = F.lit(0).cast("bigint")
+    same = distinct.where("a <> z").select("h", "s", F.col("s").alias("s2"), zero.alias("j"), zero.alias("j2"), (F.char_length("body") - (span - 1)).cast("bigint").alias("n"))
+    several = distinct.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    windows = body_windows(distinct.join(several, "h", "left_semi"), span)
+    other = windows.select("h", "g", "r", F.col("s").alias("s2"), F.col("j").alias("j2"))
+    met = windows.join(other, ["h", "g", "r"]).where("s < s2")
+    runs = met.groupBy("h", "s", "s2", (F.col("j2") - F.col("j")).alias("shift")).agg(F.sort_array(F.collect_list("j")).alias("js"))
+    whole = F.element_at("js", -1) - F.element_at("js", 1) + 1 == F.size("js")
+    run = lambda j, n: F.struct(j.alias("j"), n.cast("bigint").alias("n"))
+    stretches = F.when(whole, F.array(run(F.element_at("js", 1), F.size("js")))).otherwise(F.transform("js", lambda j: run(j, F.lit(1))))
+    different = runs.withColumn("e", F.explode(stretches)).select("h", "s", "s2", "e.j", (F.col("e.j") + F.col("shift")).alias("j2"), "e.n")
+    return same.unionByName(different)
+
+
+def pair_matches(texts: DataFrame, span: int = 100, k: int = SEED) -> DataFrame:
+    """``doc_id, partner_id, hits``: for every two texts that share a window, ``doc_id < partner_id``, all their matches ``(x, y, n)``
+    of ``n`` windows, in no order."""
+    blocks = reliable(shared_blocks(texts, span, k))
+    own = blocks.select("h", "s", F.col("doc_id").alias("a"), F.col("at").alias("x"))
+    other = blocks.select("h", F.col("s").alias("s2"), F.col("doc_id").alias("b"), F.col("at").alias("y"))
+    met = body_links(blocks, span).join(own, ["h", "s"]).join(other, ["h", "s2"])
+    met = met.where(F.when(F.col("s") == F.col("s2"), F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")))
+    x, y, turned = F.col("x") + F.col("j"), F.col("y") + F.col("j2"), F.col("a") > F.col("b")
+    return (
+        met.select(
+            F.least("a", "b").alias("doc_id"), F.greatest("a", "b").alias("partner_id"),
+            F.struct(F.when(turned, y).otherwise(x).alias("x"), F.when(turned, x).otherwise(y).alias("y"), "n").alias("hit"),
+        )
+        .groupBy("doc_id", "partner_id")
+        .agg(F.collect_list("hit").alias("hits"))
+    )
+
+
+def pair_anchors(hits: list[dict], span: int) -> list[tuple[int, int, int]]:
+    """Maximal matches ``(x, y, length)`` of two texts: windows on one diagonal that overlap or touch are one match."""
+    runs: dict[int, list[tuple[int, int]]] = {}
+    for hit in hits:
+        runs.setdefault(hit["y"] - hit["x"], []).append((hit["x"], hit["x"] + hit["n"] - 1 + span))
+    return [(lo, lo + shift, hi - lo) for shift, stretches in runs.items() for lo, hi in union(stretches)]
+
+
 class PrefixMax:
     """Fenwick tree over ranks 0..n-1: the best ``(score, payload)`` among ranks up to a given one."""
 
@@ -378,31 +458,52 @@ def edit_distance(a: str, b: str) -> int:
     return int(row[-1])
 
 
+def distinct_texts(documents: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text`` of each distinct text of at least ``span`` code points, under the least id that has it, and ``doc_id, copy_id, n``: its copies.
+
+    Texts are compared by a 128-bit hash.  An id with several texts counts with the one of the greatest hash.
+    """
+    named = documents.where(F.col("doc_id").isNotNull() & (F.char_length("text") >= span)).select("doc_id", "text", F.unhex(F.md5("text")).alias("key"))
+    keys = named.groupBy("doc_id").agg(F.max(F.struct("key", F.char_length("text").cast("bigint").alias("n"))).alias("k")).select("doc_id", "k.key", "k.n")
+    firsts = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("c"))
+    copies = keys.join(firsts.where("c > 1"), "key").where("doc_id <> first").select(F.col("first").alias("doc_id"), F.col("doc_id").alias("copy_id"), "n")
+    kept = firsts.select(F.col("first").alias("doc_id"), F.col("key").alias("own_key"))
+    texts = named.join(kept, "doc_id").where("key = own_key").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return texts, copies
+
+
 def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least: int | None = None, max_gap_cells: int = 4_000_000) -> DataFrame:
     """Chains as passages, aligned: ``doc_id, char_from, char_to, partner_id, partner_from, partner_to, exact_chars, edits``.
 
+    Every two different texts that share ``span`` code points are chained with each other, at all places, and
+    give a row each way.  Exact copies are one text, under the least id that has it: each copy has one row with
+    that id, over the whole text, and that id one with each copy; what the text shares with others stands
+    under that id alone, so rows follow the pairs of different texts and the number of documents.
+
     ``exact_chars`` lie in verbatim matches; ``edits`` is the edit distance of the gaps between them (a gap
     whose table would exceed ``max_gap_cells`` counts as replaced as a whole, an upper bound).  Passages
-    shorter than ``least`` (default ``span``) are left out.  Each document names one partner per window, so
-    rows follow the text, not the number of pairs.
+    shorter than ``least`` (default ``span``) are left out.
     """
     least = span if least is None else least
-
-    def rows(doc_id: int, found: list[dict]) -> list[tuple]:
-        out = []
-        for partner, anchors in document_anchors(doc_id, found, span).items():
-            for members in chain(anchors):
-                own = [anchors[i] for i in members]
-                (x0, y0, _), (x1, y1, n1) = own[0], own[-1]
-                if x1 + n1 - x0 >= least:
-                    out.append((doc_id, x0, x1 + n1, partner, y0, y1 + n1, sum(a[2] for a in own), [list(a) for a in own]))
-        return out
-
+    texts, copies = distinct_texts(documents, span)
     names = ["doc_id", "char_from", "char_to", "partner_id", "partner_from", "partner_to", "exact_chars", "anchors"]
     types = [pa.int64()] * 7 + [pa.list_(pa.list_(pa.int64()))]
     schema = ", ".join(f"{n} bigint" for n in names[:-1]) + ", anchors array<array<bigint>>"
-    passages = _per_document(matches(documents, span, k), rows, schema, names, types)
-    texts = documents.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("text").alias("text"))
+
+    def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc_id, partner, hits in zip(*batch.columns, strict=True):
+                anchors = pair_anchors(hits.as_py(), span)
+                for members in chain(anchors):
+                    own = [anchors[i] for i in members]
+                    (x0, y0, _), (x1, y1, n1) = own[0], own[-1]
+                    if max(x1 - x0, y1 - y0) + n1 >= least:
+                        out.append((doc_id.as_py(), x0, x1 + n1, partner.as_py(), y0, y1 + n1, sum(a[2] for a in own), [list(a) for a in own]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    passages = pair_matches(texts, span, k).mapInArrow(chains, schema)
     cut = lambda frm, to: F.substring("text", F.col(frm) + 1, F.col(to) - F.col(frm))
     both = (
         passages.join(texts, "doc_id")
@@ -423,4 +524,11 @@ def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least:
                 edits.append(total)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(edits, pa.int64())], names=[*names[:-1], "edits"])
 
-    return both.select(*names, "own", "other").mapInArrow(align, ", ".join(f"{n} bigint" for n in names[:-1]) + ", edits bigint")
+    aligned = both.select(*names, "own", "other").mapInArrow(align, ", ".join(f"{n} bigint" for n in names[:-1]) + ", edits bigint")
+    zero = F.lit(0).cast("bigint")
+    whole = copies.select("doc_id", zero.alias("char_from"), F.col("n").alias("char_to"), F.col("copy_id").alias("partner_id"), zero.alias("partner_from"), F.col("n").alias("partner_to"), F.col("n").alias("exact_chars"), zero.alias("edits"))
+    sides = ("doc_id", "partner_id"), ("char_from", "partner_from"), ("char_to", "partner_to")
+    way = lambda turn: F.struct(*[F.col(n[turn]).alias(n[0]) for n in sides], *[F.col(n[1 - turn]).alias(n[1]) for n in sides], "exact_chars", "edits")
+    rows = aligned.unionByName(whole).select(F.explode(F.array(way(0), way(1))).alias("row"))
+    columns = [*names[:-1], "edits"]
+    return rows.where(F.col("row.char_to") - F.col("row.char_from") >= least).select(*[f"row.{n}" for n in columns])

@@ -125,3 +125,50 @@ def test_fuzzy_passages(spark):
     assert set(got) == {1, 2} and got[1].partner_id == 2
     assert got[1].exact_chars in range(120, 124) and got[1].edits == 2 and got[1].char_to - got[1].char_from in range(122, 126)
     assert P.edit_distance("kitten", "sitting") == 3 and P.edit_distance("", "abc") == 3
+
+
+def test_passages_name_every_partner(spark):
+    """Every two different texts with a common window are named, each way; exact copies are named with the least id that has the text."""
+    span = 30
+    rows = corpus(4, span)
+    rows += [(7, rows[6][1])] * 2 + [(None, rows[2][1])]
+    got = P.fuzzy_passages(spark.createDataFrame([(*r, 0, 0) for r in rows], DOCS).repartition(5), span, 12).collect()
+    texts, first, holders, want = {}, {}, {}, set()
+    for d, t in rows:
+        if d is not None and len(t or "") >= span:
+            texts[d] = t
+            first[t] = min(d, first.get(t, d))
+    for d, t in texts.items():
+        if d != first[t]:
+            want |= {(d, first[t]), (first[t], d)}
+    for t, d in first.items():
+        for i in range(len(t) - span + 1):
+            holders.setdefault(t[i : i + span], set()).add(d)
+    want |= {(a, b) for ds in holders.values() for a in ds for b in ds if a != b}
+    assert {(r.doc_id, r.partner_id) for r in got} == want
+    assert len(got) == len(set(got))
+    turned = {(r.partner_id, r.partner_from, r.partner_to, r.doc_id, r.char_from, r.char_to, r.exact_chars, r.edits) for r in got}
+    assert turned == {tuple(r) for r in got}
+    covered = {}
+    for r in got:
+        covered.setdefault((r.doc_id, r.partner_id), []).append((r.char_from, r.char_to))
+    for (a, b), have in covered.items():  # every common window that a text does not repeat lies in a passage
+        t = texts[a]
+        for i in range(len(t) - span + 1):
+            w = t[i : i + span]
+            if w in texts[b] and t.count(w) == 1:
+                assert any(lo <= i and i + span <= hi for lo, hi in have)
+
+
+def test_an_edited_copy_is_one_passage_though_lower_ids_have_its_parts(spark):
+    rng = random.Random(5)
+    a, b, c = ("".join(rng.choice("abcdefghijkl") for _ in range(70)) for _ in range(3))
+    rows = [(1, "part " + b + " only"), (2, a + b + c), (3, a[:35] + "#" + a[35:] + b + c), (4, b + "----" + b), (5, a + b + c), (6, "x" * 90), (7, "x" * 200)]
+    got = {}
+    for r in P.fuzzy_passages(spark.createDataFrame([(*r, 0, 0) for r in rows], DOCS), 30, 12).collect():
+        got.setdefault((r.doc_id, r.partner_id), []).append((r.char_from, r.char_to, r.partner_from, r.partner_to, r.exact_chars, r.edits))
+    assert [r[:2] + r[2:4] + r[5:] for r in got[2, 3]] == [(0, 210, 0, 211, 1)] and [r[5] for r in got[3, 2]] == [1]
+    assert got[2, 5] == got[5, 2] == [(0, 210, 0, 210, 210, 0)]
+    assert len(got[4, 1]) == 2  # both places
+    assert got[7, 6] == [(0, 90, 0, 90, 90, 0)]
+    assert {p for d, p in got if d == 1} == {2, 3, 4}
