@@ -102,6 +102,25 @@ def language_name(lang: Column, strict: bool = False) -> Column:
     return F.coalesce(name, lang)
 
 
+def spelled_language(lang: Column) -> Column:
+    """Language of a code, name, or directory in any case, padding and with a region (``zh-CN``): its English name.
+
+    Null, blank, ``mixed`` and names of several languages (``zh_en``) are null: only the recording tells.  Others
+    pass through unchanged.
+    """
+    parts = F.split(F.lower(F.trim(lang)), "[-_]")
+    known = F.array_distinct(F.filter(F.transform(parts, lambda p: F.when(language_name(p) != p, language_name(p))), lambda n: n.isNotNull()))
+    return F.when(F.trim(lang).isin("", "mixed") | (F.size(known) > 1), None).otherwise(F.coalesce(F.get(known, F.lit(0)), F.trim(lang)))
+
+
+def written_language(text: Column) -> Column:
+    """Language of a recognised text by its script: Japanese for kana, Chinese, Korean, Russian, else English; null for null."""
+    return (
+        F.when(text.rlike(r"[\p{IsHiragana}\p{IsKatakana}]"), "Japanese").when(text.rlike(r"\p{IsHangul}"), "Korean")
+        .when(text.rlike(r"\p{IsHan}"), "Chinese").when(text.rlike(r"\p{IsCyrillic}"), "Russian").when(text.isNotNull(), "English")
+    )
+
+
 def lang_style(lang: Column, style: Column | None = None) -> Column:
     """Statistics group: ``zh`` for ``zh`` and ``chinese``, ``en`` for everything else and null; then the style (``read`` if null)."""
     prefix = F.when(F.coalesce(lang, F.lit("")).isin("zh", "chinese"), "zh").otherwise("en")

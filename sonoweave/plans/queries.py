@@ -175,13 +175,45 @@ def attached_times(spark, d):
 
 @query
 def aligned_words(spark, d):
-    """Alignment of all utterances by a table-backed aligner and recogniser."""
+    """Alignment by a table-backed aligner of the utterances whose language is given by a code, as the SQL has it.
+
+    Those without language, with a full name, or with another spelling are left out; :func:`aligned_utterances` has all.
+    """
     said = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("text").alias("text"), F.max(F.trim("lang")).alias("lang"))
     known = said.where(T.language_name(F.col("lang")) != F.col("lang"))
     words = align.align(known, align.TableProvider(_items(spark, d)))
     return words.select("utt_id", "wi", "pos", "clause_id", "sent_id", "text", r6("start").alias("start"), r6("end").alias("end"))
 
 
+def _spelled(spark, d) -> DataFrame:
+    said = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("text").alias("text"), F.max(F.trim("lang")).alias("lang"))
+    return said.withColumn("lang", T.spelled_language(F.col("lang")))
+
+
+def _heard(spark, d) -> DataFrame:
+    """The stored sentence rows as the texts of a recogniser."""
+    sentences = table(spark, d, "segments").where("type = 'sentence' AND text IS NOT NULL").groupBy("utt_id")
+    texts = sentences.agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("pos", "text"))), lambda s: s["text"]), " ").alias("text"))
+    return texts.withColumn("language", T.written_language(F.col("text")))
+
+
+@query
+def aligned_utterances(spark, d):
+    """Alignment of all utterances by a table-backed aligner and recogniser, which gives the texts and languages that are missing.
+
+    A language that the aligner lacks raises; :func:`unsupported_languages` lists those.
+    """
+    words = align.align(_spelled(spark, d), align.TableProvider(_items(spark, d)), align.TableProvider(_heard(spark, d)))
+    return words.select("utt_id", "wi", "pos", "clause_id", "sent_id", "text", r6("start").alias("start"), r6("end").alias("end"))
+
+
+@query
+def unsupported_languages(spark, d):
+    """Languages of utterances that the aligner does not know, and of how many."""
+    rows = _spelled(spark, d).where(~F.coalesce(F.col("lang").isin(*T.LANGUAGES.values()), F.lit(True)))
+    return rows.groupBy("lang").agg(F.count("*").alias("n"))
+
+
 def _words(spark, d):
     return segments.listed_words(table(spark, d, "segments"))
 

@@ -5,7 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sonoweave.functions import text as T
 from sonoweave.operators import align, calibrate, compose, controls, quality, segments
+from sonoweave.plans import queries
 
 T0 = datetime(2024, 5, 1)
 WORDS = "utt_id string, wi int, pos int, clause_id int, sent_id int, text string, start double, end double"
@@ -229,3 +231,20 @@ def test_alignment_by_providers(spark):
     assert {r.lang for r in align.detected_languages(utts, align.TableProvider(heard)).collect()} == {"chinese", "french", "german"}
     with pytest.raises(Exception, match="Unsupported"):
         align.align(utts.withColumn("lang", F.lit("klingon")), align.SyntheticAligner()).collect()
+
+
+def test_all_utterances_are_aligned(spark, tmp_path):
+    langs = ["en", "EN ", "English", "zh-CN", "zh_en", "mixed", None, "Japanese", ""]
+    utts = [(f"u{i}", "a b.", lang) for i, lang in enumerate(langs)] + [("v", None, "French"), ("w", None, None)]
+    spark.createDataFrame(utts, "utt_id string, text string, lang string").write.parquet(str(tmp_path / "utterances.parquet"))
+    rows = []
+    for u, _, _ in utts:
+        for kind, pos, text, at in (("word", 0, "a", 0.0), ("word", 1, "b.", 1.0), ("clause", 2, "a b.", 0.0), ("sentence", 3, "a b.", 0.0)):
+            rows.append((len(rows), u, "s", pos, at, at + 0.5, text, kind))
+    segs = spark.createDataFrame(rows, "seg_id bigint, utt_id string, source string, pos int, start double, end double, text string, type string")
+    segs.withColumn("loaded_at", F.lit("2024-01-01").cast("timestamp")).write.parquet(str(tmp_path / "segments.parquet"))
+    got = [(r.utt_id, r.wi, r.text, r.start) for r in queries.QUERIES["aligned_utterances"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted((u, i, w, float(i)) for u, _, _ in utts for i, w in enumerate(["a", "b."]))
+    assert queries.QUERIES["unsupported_languages"](spark, str(tmp_path)).collect() == []
+    names = {r.lang: r.l for r in spark.createDataFrame(utts + [("x", "", "klingon")], "utt_id string, text string, lang string").select("lang", T.spelled_language(F.col("lang")).alias("l")).collect()}
+    assert names == {"en": "English", "EN ": "English", "English": "English", "zh-CN": "Chinese", "zh_en": None, "mixed": None, None: None, "": None, "Japanese": "Japanese", "French": "French", "klingon": "klingon"}
