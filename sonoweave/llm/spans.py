@@ -442,20 +442,47 @@ def shared_amounts(documents: DataFrame, span: int = 100, k: int = SEED) -> Data
 
 
 def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance of two gaps, row by row with numpy (memory of one row)."""
+    """Levenshtein distance of two gaps, exact at any length.
+
+    A column of the table is kept as two bit strings, where it rises and where it falls by one from row to
+    row (Myers; Hyyrö), so a step is a few operations on integers of as many bits as the shorter gap has code points.
+    """
     if len(a) < len(b):
         a, b = b, a
+    lead = _common(a, b)
+    a, b = a[lead:], b[lead:]
+    tail = _common(a[::-1], b[::-1])
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
     if not b:
         return len(a)
-    other = np.frombuffer(b.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    steps = np.arange(len(b) + 1)
-    row = steps.copy()
-    for i, ch in enumerate(a, 1):
-        step = np.minimum(row[1:] + 1, row[:-1] + (other != ord(ch)))
-        row = np.concatenate(([i], step))
-        # insertions along the row: prefix minimum of value less position
-        row = np.minimum.accumulate(row - steps) + steps
-    return int(row[-1])
+    points = np.frombuffer(b.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    places = {ch: int.from_bytes(np.packbits(points == ord(ch), bitorder="little").tobytes(), "little") for ch in set(a) & set(b)}
+    full, top = (1 << len(b)) - 1, len(b) - 1
+    rise, fall, distance = full, 0, len(b)
+    for ch in a:
+        equal = places.get(ch, 0)
+        level = equal | fall
+        carried = (((equal & rise) + rise) ^ rise) | equal
+        up = fall | (full & ~(carried | rise))
+        down = rise & carried
+        distance += (up >> top & 1) - (down >> top & 1)
+        up = up << 1 | 1
+        down <<= 1
+        rise = full & (down | ~(level | up))
+        fall = full & up & level
+    return distance
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the common prefix."""
+    lo, hi = 0, min(len(a), len(b))
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        if a[lo:mid] == b[lo:mid]:
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
 
 
 def distinct_texts(documents: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
@@ -472,7 +499,7 @@ def distinct_texts(documents: DataFrame, span: int) -> tuple[DataFrame, DataFram
     return texts, copies
 
 
-def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least: int | None = None, max_gap_cells: int = 4_000_000) -> DataFrame:
+def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least: int | None = None) -> DataFrame:
     """Chains as passages, aligned: ``doc_id, char_from, char_to, partner_id, partner_from, partner_to, exact_chars, edits``.
 
     Every two different texts that share ``span`` code points are chained with each other, at all places, and
@@ -480,9 +507,8 @@ def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least:
     that id, over the whole text, and that id one with each copy; what the text shares with others stands
     under that id alone, so rows follow the pairs of different texts and the number of documents.
 
-    ``exact_chars`` lie in verbatim matches; ``edits`` is the edit distance of the gaps between them (a gap
-    whose table would exceed ``max_gap_cells`` counts as replaced as a whole, an upper bound).  Passages
-    shorter than ``least`` (default ``span``) are left out.
+    ``exact_chars`` lie in verbatim matches; ``edits`` is the edit distance of the gaps between them, whatever
+    their length.  Passages shorter than ``least`` (default ``span``) are left out.
     """
     least = span if least is None else least
     texts, copies = distinct_texts(documents, span)
@@ -520,7 +546,7 @@ def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least:
                 for (x, y, n), (u, v, _) in zip(row["anchors"], row["anchors"][1:], strict=False):
                     a = row["own"][x + n - row["char_from"] : u - row["char_from"]]
                     b = row["other"][y + n - row["partner_from"] : v - row["partner_from"]]
-                    total += edit_distance(a, b) if len(a) * len(b) <= max_gap_cells else max(len(a), len(b))
+                    total += edit_distance(a, b)
                 edits.append(total)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(edits, pa.int64())], names=[*names[:-1], "edits"])
 

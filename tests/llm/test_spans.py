@@ -172,3 +172,31 @@ def test_an_edited_copy_is_one_passage_though_lower_ids_have_its_parts(spark):
     assert len(got[4, 1]) == 2  # both places
     assert got[7, 6] == [(0, 90, 0, 90, 90, 0)]
     assert {p for d, p in got if d == 1} == {2, 3, 4}
+
+
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_edit_distance_equals_the_table():
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab你𝄞\ud800"[: rng.randrange(1, 6)]) for _ in range(rng.randrange(0, 90))) for _ in range(2))
+        assert P.edit_distance(a, b) == P.edit_distance(b, a) == slow_distance(a, b)
+    a = "".join(rng.choice("abcdefgh") for _ in range(700))
+    b = "".join(c + "#" * (i % 60 == 0) for i, c in enumerate(a))
+    assert P.edit_distance(a, b) == 12 == slow_distance(a, b)
+
+
+def test_long_gaps_are_aligned(spark):
+    rng = random.Random(6)
+    head, gap, tail = ("".join(rng.choice("abcdefghijkl") for _ in range(n)) for n in (1500, 3000, 1600))
+    edited = "".join("#" if i % 60 == 30 else c for i, c in enumerate(gap))  # 50 edits, no 100 code points in common
+    rows = [(1, head + gap + tail, 0, 0), (2, head + edited + tail, 0, 0)]
+    got = [(r.doc_id, r.char_from, r.char_to, r.edits) for r in P.fuzzy_passages(spark.createDataFrame(rows, DOCS)).collect()]
+    assert sorted(got) == [(1, 0, 6100, 50), (2, 0, 6100, 50)]
