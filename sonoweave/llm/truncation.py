@@ -1,10 +1,11 @@
-"""Texts that were cut off: strict prefixes of longer copies elsewhere.
+"""Texts that were cut off: strict prefixes of their own longer copies.
 
 A sentence row has two more copies of its text in the table: the word rows that
 belong to it and the clause rows they close.  Rows are co-grouped by the
-sentence they belong to (a self-join of the table), copies are put together
-without white space, and a sentence text that is a strict prefix of its copy was
-cut.  Equality of fixed-length prefixes is tested first.
+sentence they belong to, copies are put together without white space, and a
+sentence text that is a strict prefix of its copy was cut.  The texts of other
+sentences are not looked at: one that starts alike does not tell whether this
+one is whole.  ``PREFIX`` only ends a comparison early.
 
 Which sentence a row belongs to is the next sentence row's position.  It is
 found in two levels, inside blocks of positions and across blocks, so that no
