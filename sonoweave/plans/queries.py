@@ -242,7 +242,10 @@ def pauses(spark, d):
 
 
 def _frames(spark, d) -> DataFrame:
-    """Stand-in frames, ten a second: energy and pitch made from an embedding by a fixed rule."""
+    """Stand-in frames, ten a second: energy and pitch made from an embedding by a fixed rule.
+
+    Every utterance has frames, but of the embeddings only 0..499 are used, as in the SQL.
+    """
     number = F.regexp_extract("utt_id", r"(\d+)$", 1).cast("int") % 500
     who = table(spark, d, "utterances").select("utt_id").distinct().withColumn("vec_id", number.cast("bigint"))
     vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
