@@ -503,7 +503,8 @@ def fuzzy_passages(documents: DataFrame, span: int = 100, k: int = SEED, least:
     """Chains as passages, aligned: ``doc_id, char_from, char_to, partner_id, partner_from, partner_to, exact_chars, edits``.
 
     Every two different texts that share ``span`` code points are chained with each other, at all places, and
-    give a row each way.  Exact copies are one text, under the least id that has it: each copy has one row with
+    give a row each way; only windows that one block repeats (a run of one sign, a short period) are matched in
+    order, first with first, so the longer of two runs is left over.  Exact copies are one text, under the least id that has it: each copy has one row with
     that id, over the whole text, and that id one with each copy; what the text shares with others stands
     under that id alone, so rows follow the pairs of different texts and the number of documents.
 
