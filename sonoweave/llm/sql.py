@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sonoweave.llm.lookalikes import one_form_sql
+from sonoweave.llm.truncation import AROUND, CLOSED, LEAST_VOTES, TAIL, UNSPACED
 
 _FORMS = f"""
 WITH rows AS (
@@ -58,17 +59,35 @@ near AS (
 ), copies AS (
   SELECT utt_id, sp, string_agg(CASE WHEN unknown AND whole IS NOT NULL THEN whole ELSE parts END, '' ORDER BY place) AS copy FROM clauses GROUP BY utt_id, sp
 ), pairs AS (
-  SELECT seg_id, source, rtrim(regexp_replace(text, '{_SPACE}', '', 'g'), '�') AS t, copy, split_part(copy, chr(1), 1) AS head
+  SELECT seg_id, source, text, rtrim(regexp_replace(text, '{_SPACE}', '', 'g'), '�') AS t, copy, split_part(copy, chr(1), 1) AS head
   FROM seg s LEFT JOIN copies c ON c.utt_id = s.utt_id AND c.sp = s.pos WHERE type = 'sentence' AND text IS NOT NULL
-), cuts AS (
-  SELECT seg_id, source, CASE
+), judged AS (
+  SELECT seg_id, source, text, rtrim(text, '�') AS w, ends_with(text, '�') AS half, regexp_extract(text, '{TAIL}') AS tail, CASE
+    WHEN ends_with(text, '�') THEN true
     WHEN copy IS NULL THEN false
     WHEN NOT contains(copy, chr(1)) THEN starts_with(copy, t) AND copy <> t
     WHEN length(t) < length(head) THEN starts_with(head, t)
     WHEN NOT starts_with(t, head) THEN false
     ELSE NOT regexp_matches(t, '(?s)^' || replace(regexp_escape(copy), regexp_escape(chr(1)), '.+')) END AS cut
   FROM pairs
-)
+), measured AS (
+  SELECT seg_id, coalesce(source, '') AS source, cut, half, length(text) AS points, strlen(w) AS bytes, greatest(strlen(right(w, 1)), 1) AS width,
+    NOT regexp_matches(text, '{CLOSED.replace("'", "''")}') AS open, CASE WHEN regexp_matches(tail, '{UNSPACED.replace("Is", "")}') THEN '' ELSE tail END AS tail
+  FROM judged
+), votes AS (
+  SELECT source, 'points' AS unit, points AS size FROM measured WHERE cut
+  UNION ALL SELECT source, 'bytes', unnest(CASE WHEN half THEN [bytes + 1, bytes + 2, bytes + 3] ELSE range(bytes, bytes + width) END) FROM measured WHERE cut
+), best AS (
+  SELECT DISTINCT ON (source) * FROM (SELECT source, unit, size, count(*) AS n FROM votes GROUP BY ALL) ORDER BY source, n DESC, unit, size
+), limits AS (
+  SELECT source, unit, size FROM best JOIN (SELECT source, count(*) AS c FROM measured WHERE cut GROUP BY source) USING (source) WHERE n >= {LEAST_VOTES} AND n * 2 >= c
+), whole AS (SELECT DISTINCT regexp_replace(text, '{AROUND}', '', 'g') AS word FROM segments WHERE type = 'word' AND text IS NOT NULL),
+filled AS (
+  SELECT seg_id, tail FROM measured JOIN limits USING (source)
+  WHERE NOT cut AND open AND CASE unit WHEN 'points' THEN points = size ELSE bytes <= size AND bytes > size - width END
+), more AS (
+  SELECT seg_id FROM filled WHERE tail = '' OR EXISTS (SELECT 1 FROM whole WHERE starts_with(word, tail) AND word <> tail)
+), cuts AS (SELECT seg_id, nullif(source, '') AS source, cut OR seg_id IN (SELECT seg_id FROM more) AS cut FROM measured)
 """
 
 SQL |= {

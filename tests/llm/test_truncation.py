@@ -78,3 +78,42 @@ def test_blocks_do_not_matter(spark, monkeypatch):
     data, cut = rows()
     monkeypatch.setattr(R, "BLOCK", 2)
     assert {r.seg_id for r in R.truncated(spark.createDataFrame(data, SEG)).collect()} == cut
+
+
+def test_cuts_whose_words_are_cut_as_well(spark):
+    """Three known cuts of 20 code points make a limit; a fourth text of that length is cut if its last word is only begun."""
+    data, n = [], 0
+
+    def add(utt, text, kind, source="limited"):
+        nonlocal n
+        n += 1
+        data.append((n, utt, source, n, text, kind, T0, 0, ""))
+        return n
+
+    def sentence(utt, words, text, source="limited"):
+        for w in words:
+            add(utt, w, "word", source)
+        return add(utt, text, "sentence", source)
+
+    full = ["the", "old", "bell", "was", "ringing."]
+    known = {sentence(f"k{i}", full, " ".join(full)[:20]) for i in range(3)}
+    begun = sentence("a", ["a", "small", "bell", "was", "rin"], "a small bell was rin")
+    short = sentence("b", ["the", "bell", "ring"], "the bell ring")  # not at the limit
+    closed = sentence("c", ["twenty", "code", "point", "b."], "twenty code point b.")
+    whole = sentence("d", ["twenty", "code", "points", "z"], "twenty code points z")  # no word begins so
+    other = sentence("e", ["a", "small", "bell", "was", "rin"], "a small bell was rin", "free")  # a source without a limit
+    spaced = sentence("f", ["some", "more", "code", "unit"], "some more code unit ")
+    half = sentence("g", ["x", "y�"], "x y�", "free")
+    df = spark.createDataFrame(data, SEG)
+    found = {r.seg_id for r in R.truncated(df).collect()}
+    assert found == known | {begun, spaced, half}
+    assert not found & {short, closed, whole, other}
+    limits = R.field_limits(R.measured(R.judged_rows(df))).collect()
+    assert [(r.source, r.unit, r.size) for r in limits] == [("limited", "bytes", 20)]
+
+
+def test_long_words_join_by_their_first_code_points_and_the_rest(spark):
+    word = "x" * R.PREFIX
+    seg = spark.createDataFrame([(i, "u", "s", i, w, "word", T0, 0, "") for i, w in enumerate([word + "abc", word + "d", "gravel,"])], SEG)
+    tails = spark.createDataFrame([(word + "ab",), (word + "abc",), (word + "b",), (word,), ("grav",), ("gravel",)], "tail string")
+    assert {r.tail for r in R.begun_words(tails, seg).collect()} == {word + "ab", word, "grav"}
