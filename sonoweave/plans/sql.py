@@ -249,6 +249,80 @@ WITH i AS (
 )
 """
 
+
+def _weighted(rows: str, keys: str, value: str, q: float) -> str:
+    """The least value whose cumulated ``n`` reaches ``q`` of all, per key, and the total."""
+    return f"""SELECT {keys}, min({value}) AS v, any_value(t) AS t FROM (
+    SELECT {keys}, {value}, sum(n) OVER (PARTITION BY {keys} ORDER BY {value}) AS c, sum(n) OVER (PARTITION BY {keys}) AS t FROM {rows}
+  ) WHERE c >= t * {q} GROUP BY {keys}"""
+
+
+def _usual(hist: str, out: str) -> str:
+    """CTE ``out(source, hour, usual_ms, season)``: what is usual by a histogram."""
+    return f"""{out}m AS ({_weighted(f"(SELECT source, ms, sum(n) AS n FROM {hist} GROUP BY ALL)", "source", "ms", 0.5)}),
+{out}s AS (
+  SELECT source, sqrt(sum(n * r * r) / sum(n)) AS sd FROM (SELECT source, n, ln(ms / v) AS r FROM {hist} JOIN {out}m USING (source)) WHERE abs(r) < ln(5.0) GROUP BY source
+), {out}h AS ({_weighted(hist, "source, hour", "ms", 0.5)}),
+{out} AS (
+  SELECT h.source, hour, m.v AS usual_ms, CASE WHEN abs(ln(h.v / m.v)) > 4.0 * 1.2533 * sd / sqrt(h.t) THEN ln(h.v / m.v) ELSE 0.0 END AS season
+  FROM {out}h h JOIN {out}m m USING (source) LEFT JOIN {out}s USING (source)
+)"""
+
+
+def _cuts(hist: str, usual: str, out: str, least: float, most: float) -> str:
+    """CTE ``out(source, hi, lo)``: cutoffs by a generalised Pareto fit of either tail's excesses over the 95 per cent point, at risk 1e-6."""
+    return f"""{out}r AS (SELECT source, n, ln(ms / usual_ms) - season AS r FROM {hist} JOIN {usual} USING (source, hour)),
+{out}t AS (SELECT source, side, n, side * r AS x FROM {out}r, (VALUES (1.0), (-1.0)) AS sides(side) WHERE abs(r) < ln(5.0)),
+{out}u AS ({_weighted(f"{out}t", "source, side", "x", 0.95)}),
+{out}e AS (
+  SELECT source, side, v AS u, t, sum(n) AS k, sum(n * (x - v)) / sum(n) AS m, sum(n * (x - v) * (x - v)) / sum(n) AS m2
+  FROM {out}u JOIN {out}t USING (source, side) WHERE x > v GROUP BY ALL
+), {out}f AS (SELECT *, greatest(m2 - m * m, 0.0) AS var FROM {out}e), {out}g AS (
+  SELECT *, CASE WHEN k >= 10 AND var > 1e-12 THEN (1 - m * m / var) / 2 END AS xi, 1e-6 * t / k AS rate FROM {out}f
+), {out}c AS (
+  SELECT source, side, greatest(ln({least}), least(ln({most}), coalesce(
+    CASE WHEN abs(xi) < 1e-9 THEN u - m * (1 - xi) * ln(rate) ELSE u + m * (1 - xi) / xi * (pow(rate, -xi) - 1) END, ln({least})))) AS cut
+  FROM {out}u JOIN (SELECT DISTINCT source FROM {out}t) USING (source) LEFT JOIN {out}g g USING (source, side, t)
+), {out} AS (SELECT source, max(cut) FILTER (side > 0) AS hi, max(cut) FILTER (side < 0) AS lo FROM {out}c GROUP BY source)"""
+
+
+def _flags(least: float, most: float) -> str:
+    """CTEs ending in ``flags``: word rows with times, impossible, out of what the fits allow, or stuck."""
+    return f"""
+WITH w AS (
+  SELECT DISTINCT ON (seg_id) seg_id, utt_id, coalesce(source, '') AS source, pos, start AS s, "end" AS e FROM segments
+  WHERE type = 'word' AND seg_id IS NOT NULL ORDER BY seg_id, loaded_at
+), u AS (SELECT utt_id, max(duration_s) AS d, min(hour(recorded_at)) AS hour FROM utterances GROUP BY utt_id),
+r AS (
+  SELECT w.*, d, coalesce(hour, -1) AS hour, CASE WHEN isfinite(s) THEN round(s * 1000) END AS sm, CASE WHEN isfinite(e) THEN round(e * 1000) END AS em
+  FROM w LEFT JOIN u USING (utt_id)
+), n AS (
+  SELECT *,
+    CASE WHEN sm = lag(sm) OVER o THEN 0 ELSE 1 END AS sc, CASE WHEN em = lag(em) OVER o THEN 0 ELSE 1 END AS ec
+  FROM r WINDOW o AS (PARTITION BY utt_id ORDER BY pos, seg_id)
+), g AS (
+  SELECT *, sum(sc) OVER o AS sg, sum(ec) OVER o AS eg FROM n WINDOW o AS (PARTITION BY utt_id ORDER BY pos, seg_id)
+), f AS (
+  SELECT *, utt_id IS NOT NULL AND pos IS NOT NULL
+    AND (count(*) OVER (PARTITION BY utt_id, sg) >= 4 OR count(*) OVER (PARTITION BY utt_id, eg) >= 4) AS stuck FROM g
+), t AS (
+  SELECT *, NOT (isfinite(s) AND isfinite(e) AND s >= 0 AND e > s AND (d IS NULL OR e <= d)) AS impossible
+  FROM f WHERE s IS NOT NULL AND e IS NOT NULL
+), hist AS (
+  SELECT source, hour, greatest(CAST(round((e - s) * 1000) AS BIGINT), 1) AS ms, count(*) AS n FROM t WHERE NOT impossible GROUP BY ALL
+), {_usual("hist", "ua")}, {_cuts("hist", "ua", "ca", 2.0, 5.0)}, body AS (
+  SELECT source, hour, ms, n FROM hist JOIN ua USING (source, hour) LEFT JOIN ca USING (source)
+  WHERE coalesce(ln(ms / usual_ms) - season < hi AND ln(ms / usual_ms) - season > -lo, true)
+), {_usual("body", "ub")}, {_cuts("hist", "ub", "cb", least, most)}, flags AS (
+  SELECT t.*, coalesce(x >= coalesce(hi, ln({least})) - 1e-9 OR x <= -coalesce(lo, ln({least})) + 1e-9, false) AS spike
+  FROM (
+    SELECT t.*, CASE WHEN NOT impossible THEN ln(CASE WHEN impossible THEN 1.0 ELSE (e - s) * 1000.0 END / usual_ms) - season END AS x
+    FROM t LEFT JOIN ub USING (source, hour)
+  ) t LEFT JOIN cb USING (source)
+)
+"""
+
+
 _ATTACH = r"""
 said AS (SELECT utt_id, max(text) AS text FROM utterances {where} GROUP BY utt_id),
 """ + _tokens("said", "utt_id") + r""",
@@ -273,31 +347,9 @@ _WF = r"regexp_extract(path, '([^/]*)/[^/]*$', 1)"
 _STEM = r"regexp_extract(path, '([^/]*?)(?:\.[^./]*)?$', 1)"
 
 SQL: dict[str, str] = {
-    "p2_found": """
-WITH w AS (
-  SELECT DISTINCT ON (seg_id) seg_id, utt_id, coalesce(source, '') AS source, pos, start AS s, "end" AS e FROM segments
-  WHERE type = 'word' AND seg_id IS NOT NULL ORDER BY seg_id, loaded_at
-), u AS (SELECT utt_id, max(duration_s) AS d FROM utterances GROUP BY utt_id),
-r AS (
-  SELECT w.*, d, CASE WHEN isfinite(s) THEN round(s * 1000) END AS sm, CASE WHEN isfinite(e) THEN round(e * 1000) END AS em
-  FROM w LEFT JOIN u USING (utt_id)
-), n AS (
-  SELECT *,
-    CASE WHEN sm = lag(sm) OVER o THEN 0 ELSE 1 END AS sc, CASE WHEN em = lag(em) OVER o THEN 0 ELSE 1 END AS ec
-  FROM r WINDOW o AS (PARTITION BY utt_id ORDER BY pos, seg_id)
-), g AS (
-  SELECT *, sum(sc) OVER o AS sg, sum(ec) OVER o AS eg FROM n WINDOW o AS (PARTITION BY utt_id ORDER BY pos, seg_id)
-), f AS (
-  SELECT *, count(*) OVER (PARTITION BY utt_id, sg) >= 4 OR count(*) OVER (PARTITION BY utt_id, eg) >= 4 AS stuck FROM g
-), t AS (
-  SELECT *, NOT (isfinite(s) AND isfinite(e) AND s >= 0 AND e > s AND (d IS NULL OR e <= d)) AS impossible
-  FROM f WHERE s IS NOT NULL AND e IS NOT NULL
-), usual AS (
-  SELECT source, quantile_disc(greatest(CAST(round((e - s) * 1000) AS BIGINT), 1), 0.5) AS m FROM t WHERE NOT impossible GROUP BY source
-)
-SELECT seg_id FROM t LEFT JOIN usual USING (source)
-WHERE impossible OR stuck OR abs(ln(CASE WHEN impossible THEN m / 1000.0 ELSE e - s END * 1000.0 / m)) >= ln(5.0) - 1e-9
-""",
+    "p2_found": _flags(5.0, 5.0) + "SELECT seg_id FROM flags WHERE impossible OR stuck OR spike",
+    "p2_by_source": _flags(3.0, 8.0)
+    + "SELECT source, count(*) AS n, count_if(impossible)::BIGINT AS n_impossible, count_if(spike)::BIGINT AS n_spike, count_if(stuck)::BIGINT AS n_stuck FROM flags GROUP BY source",
     "p5_found": _INTERVALS + "SELECT utt_id, seg_type, before AS gap_from_ms, s AS gap_to_ms FROM m WHERE before < s",
     "p5_periods": _INTERVALS
     + """, p AS (
