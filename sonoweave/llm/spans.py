@@ -8,18 +8,19 @@ one document has are dropped; what is left is a few percent of the corpus.
 *Shared windows.*  Windows with one minimiser lie in a row and form a block.
 Equal blocks collapse, before any shuffle of theirs, into one row with the first
 and the last document that have them.  Where a seed has several different blocks
-their windows are compared one by one in the same manner.  Either way a window
-gets at most two partners, so neither a seed nor a copied text that a third of
-all documents hold makes any group grow: there are no pairs within a group.
+their windows are compared in the same manner, equal windows of one block as
+one.  Neither a seed nor a copied text that a third of all documents hold makes
+any group grow: there are no pairs within a group.  The union of a document's
+shared windows is what it shares verbatim; no chain can add to it or take away.
 
-*Chains.*  A document's matches with a partner are chained: collinear matches in
-order, with a gap cost, by a Fenwick tree over the partner's positions.  Each
-match lies in exactly one chain.  A chain is a passage, exact in its matches and
-fuzzy between them; the union of the matches is what is shared verbatim.
-
-*Passages.*  Two partners a window are enough to tell what is shared, not with whom.  There exact
+*Passages.*  The first and the last holder of a window tell what is shared, not with whom.  There exact
 copies collapse into one text, blocks of different texts are linked where they have a window in common, and
 every two texts that share one are chained with each other.
+
+*Chains.*  The matches of two texts are chained: collinear matches in order,
+with a gap cost, by a Fenwick tree over the partner's positions.  Each match
+lies in exactly one chain.  A chain is a passage, exact in its matches and fuzzy
+between them, where the two texts are aligned.
 """
 
 from __future__ import annotations
@@ -115,7 +116,8 @@ def _joined(points, owner, first):
 
 
 def _minimisers(points: np.ndarray, starts: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimiser of each window of a run, and a mask of the windows that lie in one piece."""
+    """Minimiser of each window of a run, and a mask of the windows that lie in one piece.  A ``span`` below ``k`` is its own seed."""
+    k = min(k, span)
     least = sliding_min(kmer_hashes(points, k), span - k + 1)
     valid = np.ones(len(least), dtype=bool)
     for end in starts[1:-1]:
@@ -125,6 +127,8 @@ def _minimisers(points: np.ndarray, starts: np.ndarray, span: int, k: int) -> tu
 
 def document_seeds(documents: DataFrame, span: int, k: int = SEED) -> DataFrame:
     """``h, doc_id``: the distinct minimisers of each document of at least ``span`` code points."""
+    if span < 1 or k < 1:
+        raise ValueError(f"passages and seeds have at least one code point, not {span} and {k}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,39 +185,52 @@ def seed_blocks(documents: DataFrame, span: int, k: int = SEED) -> DataFrame:
     return documents.select("doc_id", "text", "hs").mapInArrow(run, "h bigint, doc_id bigint, at bigint, body string")
 
 
-HIT = "j bigint, n bigint, a struct<doc_id:bigint,at:bigint>, z struct<doc_id:bigint,at:bigint>"
+def body_runs(bodies: DataFrame, span: int) -> DataFrame:
+    """``h, s, a, z, whole, g, runs`` per distinct window of each body ``h, s, a, z, whole, body``: its hash and the places
+    ``(j, n)``, windows ``j .. j + n - 1``, where the body has it.  A body of one sign has one distinct window."""
+    names = ["h", "s", "a", "z", "whole", "g", "runs"]
+    place = pa.struct([("j", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, body in enumerate(batch.column("body").to_pylist()):
+                g = kmer_hashes(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), span)
+                begins = np.flatnonzero(np.append(True, g[1:] != g[:-1]))  # equal windows in a row are one run
+                lengths = np.diff(np.append(begins, len(g)))
+                values = g[begins]
+                order = np.argsort(values, kind="stable")
+                first = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
+                runs = pa.StructArray.from_arrays([pa.array(begins[order]), pa.array(lengths[order])], fields=list(place))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), runs)
+                same = lambda c: pa.array([batch.column(c)[i].as_py()] * len(first), batch.schema.field(c).type)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([*map(same, names[:5]), pa.array(values[order][first].view(np.int64)), lists], names=names)
+
+    return bodies.select(*names[:5], "body").mapInArrow(
+        run, "h bigint, s bigint, a bigint, z bigint, whole boolean, g bigint, runs array<struct<j:bigint,n:bigint>>"
+    )
 
 
 def block_hits(blocks: DataFrame, span: int) -> DataFrame:
     """``h, s, hits`` per distinct block with a window that another document has too.
 
-    A hit covers the ``n`` windows of the block from window ``j``; ``a`` and ``z`` are the first and the
-    last document that have window ``j``, and where.
+    A hit ``(j, n)`` is a run of such windows, ``j .. j + n - 1``.  Memory per row follows the length of one body.
     """
-    place = F.struct("doc_id", "at")
     distinct = (
         blocks.groupBy("h", "s")
-        .agg(F.min(place).alias("a"), F.max(place).alias("z"), F.min("body").alias("body"))
-        .withColumn("windows", F.char_length("body") - (span - 1))
-        .withColumn("whole", F.col("a.doc_id") != F.col("z.doc_id"))
-    )
-    whole = distinct.where("whole").select(
-        "h", "s", F.array(F.struct(F.lit(0).cast("bigint").alias("j"), F.col("windows").cast("bigint").alias("n"), "a", "z")).alias("hits")
+        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.min("body").alias("body"))
+        .withColumn("whole", F.col("a") != F.col("z"))
     )
+    everything = F.struct(F.lit(0).cast("bigint").alias("j"), (F.char_length("body") - (span - 1)).cast("bigint").alias("n"))
+    whole = distinct.where("whole").select("h", "s", F.array(everything).alias("hits"))
     several = distinct.groupBy("h").agg(F.count("*").alias("c"), F.min("whole").alias("all_whole")).where((F.col("c") > 1) & ~F.col("all_whole")).select("h")
-    shifted = lambda p: F.struct(F.col(f"{p}.doc_id").alias("doc_id"), (F.col(f"{p}.at") + F.col("j")).alias("at"))
-    windows = (
-        distinct.join(several, "h")
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
-        .select("h", "s", "whole", F.col("j").cast("bigint").alias("j"), F.xxhash64(F.substring("body", F.col("j") + 1, F.lit(span))).alias("g"), shifted("a").alias("a"), shifted("z").alias("z"))
-    )
-    met = windows.groupBy("h", "g").agg(F.min("a").alias("a"), F.max("z").alias("z")).where(F.col("a.doc_id") != F.col("z.doc_id"))
+    windows = body_runs(distinct.join(several, "h", "left_semi"), span)
+    met = windows.groupBy("h", "g").agg(F.min("a").alias("lo"), F.max("z").alias("hi")).where("lo <> hi").select("h", "g")
     single = (
         windows.where(~F.col("whole"))
-        .select("h", "s", "j", "g")
-        .join(met, ["h", "g"])
-        .groupBy("h", "s")  # at most as many rows as a block has windows: span - k + 1
-        .agg(F.sort_array(F.collect_list(F.struct("j", F.lit(1).cast("bigint").alias("n"), "a", "z"))).alias("hits"))
+        .select("h", "s", "g", "runs")
+        .join(met, ["h", "g"], "left_semi")
+        .groupBy("h", "s")
+        .agg(F.flatten(F.collect_list("runs")).alias("hits"))
     )
     return whole.unionByName(single)
 
@@ -370,21 +387,6 @@ def chain(anchors: list[tuple[int, int, int]], gap_cost: float = GAP_COST) -> li
     return chains
 
 
-def document_anchors(doc_id: int, found: list[dict], span: int) -> dict[int, list[tuple[int, int, int]]]:
-    """Maximal matches ``(x, y, length)`` by partner: windows on one diagonal that overlap or touch are one match."""
-    runs: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for block in found:
-        for hit in block["hits"]:
-            partner = hit["a"] if hit["a"]["doc_id"] != doc_id else hit["z"]
-            x = block["at"] + hit["j"]
-            runs.setdefault((partner["doc_id"], partner["at"] - x), []).append((x, x + hit["n"] - 1 + span))
-    out: dict[int, list[tuple[int, int, int]]] = {}
-    for (partner, shift), stretches in runs.items():
-        for lo, hi in union(stretches):
-            out.setdefault(partner, []).append((lo, lo + shift, hi - lo))
-    return out
-
-
 def union(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Union of half-open stretches; overlapping or touching ones become one."""
     out: list[list[int]] = []
@@ -417,15 +419,12 @@ def shared_stretches(documents: DataFrame, span: int = 100, k: int = SEED) -> Da
     Overlapping or touching passages make one stretch.  A passage repeated only within one document, or in
     rows of one and the same ``doc_id``, is not shared.  Null, empty and shorter texts, and rows without an id,
     give no row; an empty table gives none.  Seeds and windows are compared by 64-bit hashes in pairs
-    (seed and window), which stand for equality.
+    (seed and window), which stand for equality.  A ``span`` below 1 is an error.
     """
 
     def rows(doc_id: int, found: list[dict]) -> list[tuple]:
-        passages: list[tuple[int, int]] = []
-        for anchors in document_anchors(doc_id, found, span).values():
-            for members in chain(anchors):
-                passages += [(anchors[i][0], anchors[i][0] + anchors[i][2]) for i in members]
-        return [(doc_id, lo, hi) for lo, hi in union(passages)]
+        windows = [(block["at"] + hit["j"], hit["n"]) for block in found for hit in block["hits"]]
+        return [(doc_id, lo, hi) for lo, hi in union([(x, x + n - 1 + span) for x, n in windows])]
 
     return _per_document(
         matches(documents, span, k), rows, "doc_id bigint, char_from bigint, char_to bigint", ["doc_id", "char_from", "char_to"], [pa.int64()] * 3

@@ -80,6 +80,19 @@ def test_pieces_of_long_texts(spark, monkeypatch):
     assert {tuple(r) for r in P.shared_stretches(df, 30, 12).collect()} == want
 
 
+def test_long_runs_and_short_periods(spark):
+    """A megabyte of one sign and texts of a short period are blocks of many equal windows; spans shorter than a seed are allowed."""
+    rows = [(1, "-" * 1_000_000), (2, "x" * 40 + "-" * 300), (3, "ab" * 100_000), (4, "=" + "ab" * 90), (5, "ab" * 40), (6, "=-" * 70_000)]
+    df = spark.createDataFrame([(*r, 0, 0) for r in rows], DOCS).repartition(3)
+    want = {(1, 0, 1_000_000), (2, 40, 340), (3, 0, 200_000), (4, 1, 181)}
+    assert {tuple(r) for r in P.shared_stretches(df, 100).collect()} == want
+    few = [(1, "abcdef"), (2, "xbcdx"), (3, "qq")]
+    short = spark.createDataFrame([(*r, 0, 0) for r in few], DOCS)
+    assert {tuple(r) for r in P.shared_stretches(short, 3).collect()} == brute(few, 3)
+    with pytest.raises(ValueError):
+        P.shared_stretches(short, 0)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], DOCS)
     assert P.shared_stretches(df).count() == 0 and P.shared_amounts(df).count() == 0 and P.fuzzy_passages(df).count() == 0
