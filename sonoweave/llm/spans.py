@@ -119,10 +119,15 @@ def _minimisers(points: np.ndarray, starts: np.ndarray, span: int, k: int) -> tu
     """Minimiser of each window of a run, and a mask of the windows that lie in one piece.  A ``span`` below ``k`` is its own seed."""
     k = min(k, span)
     least = sliding_min(kmer_hashes(points, k), span - k + 1)
-    valid = np.ones(len(least), dtype=bool)
+    return least, _whole_windows(len(least), starts, span)
+
+
+def _whole_windows(n: int, starts: np.ndarray, span: int) -> np.ndarray:
+    """Mask of the ``n`` windows of a run that lie in one piece."""
+    valid = np.ones(n, dtype=bool)
     for end in starts[1:-1]:
         valid[max(0, end - span + 1) : end] = False
-    return least, valid
+    return valid
 
 
 def document_seeds(documents: DataFrame, span: int, k: int = SEED) -> DataFrame:
@@ -193,17 +198,24 @@ def body_runs(bodies: DataFrame, span: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, body in enumerate(batch.column("body").to_pylist()):
-                g = kmer_hashes(np.frombuffer(body.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), span)
-                begins = np.flatnonzero(np.append(True, g[1:] != g[:-1]))  # equal windows in a row are one run
-                lengths = np.diff(np.append(begins, len(g)))
-                values = g[begins]
-                order = np.argsort(values, kind="stable")
-                first = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
-                runs = pa.StructArray.from_arrays([pa.array(begins[order]), pa.array(lengths[order])], fields=list(place))
+            for points, owner, first_at, starts in _pieces(batch.column("body").to_pylist(), span):
+                g = kmer_hashes(points, span)
+                valid = _whole_windows(len(g), starts, span)
+                piece = np.searchsorted(starts, np.arange(len(g)), side="right") - 1
+                fresh = valid.copy()
+                fresh[1:] &= (g[1:] != g[:-1]) | ~valid[:-1] | (piece[1:] != piece[:-1])
+                begins = np.flatnonzero(fresh)  # equal windows in a row are one run
+                stop = np.append(np.flatnonzero(fresh | ~valid), len(g))
+                lengths = stop[np.searchsorted(stop, begins, side="right")] - begins
+                body, values = owner[piece[begins]], g[begins]
+                at = begins - starts[piece[begins]] + first_at[piece[begins]]
+                order = np.lexsort((at, values, body))
+                body, values = body[order], values[order]
+                first = np.flatnonzero(np.append(True, (values[1:] != values[:-1]) | (body[1:] != body[:-1])))
+                runs = pa.StructArray.from_arrays([pa.array(at[order].astype(np.int64)), pa.array(lengths[order].astype(np.int64))], fields=list(place))
                 lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), runs)
-                same = lambda c: pa.array([batch.column(c)[i].as_py()] * len(first), batch.schema.field(c).type)  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([*map(same, names[:5]), pa.array(values[order][first].view(np.int64)), lists], names=names)
+                whose = pa.array(body[first].astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(whose) for c in names[:5]), pa.array(values[first].view(np.int64)), lists], names=names)
 
     return bodies.select(*names[:5], "body").mapInArrow(
         run, "h bigint, s bigint, a bigint, z bigint, whole boolean, g bigint, runs array<struct<j:bigint,n:bigint>>"
