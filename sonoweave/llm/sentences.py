@@ -5,9 +5,13 @@ that starts there, with a verdict.  At each candidate position the rules of a
 language are tried in order and the first whose two sides both match decides.
 Each language has a table of rules; tables cascade tier by tier (tokens,
 abbreviations, quotations, pauses, possible endings, final marks), in each tier
-the languages' rules before the common ones.  All languages' tables apply
-together unless fewer are asked for, since the stored language is often missing
-or wrong and texts mix languages.
+the languages' rules before the common ones.  A text gets the tables of the
+languages it is written in, as its scripts and function words show; the stored
+language is often missing or wrong, texts mix languages, and no join is needed.
+A text that shows none gets all tables.
+
+A rule sees the start of the sentence and what lies next to the position, a
+bounded number of code points, so time is linear in the text.
 
 Before the rules run, a text is read through a *view*: invisible characters are
 skipped, width forms and look-alikes stand for the plain letter, all kinds of
@@ -28,15 +32,25 @@ from pyspark.sql import DataFrame
 
 from sonoweave.llm.lookalikes import SAME_AS_LOWER, SAME_AS_UPPER, sentence_rows, tables
 
-MARKS = ".!?。！？｡…"
+#: Final marks of scripts that need no space after them: Chinese and Japanese, Devanagari, Arabic and Urdu, Ethiopic, Armenian, Khmer, Burmese.
+FULL_STOPS = "。！？｡।॥؟۔።፧։។៕။"
+MARKS = ".!?…" + FULL_STOPS
 #: Opening and closing signs that shield what lies between them.
 PAIRS = {"“": "”", "„": "“”", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]", "【": "】", "《": "》", "‹": "›", "‘": "’", "‚": "‘’"}
 CLOSERS = "”»」』)）]】》›\"“’"
 
 # Abbreviations, as patterns of the view, by what may follow them.
+#: Titles before a name, with a capital; the same letters in lower case are words or other abbreviations.
+TITLES = {
+    "en": ["Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Sgt", "Lt", "Capt", "Col", "Gen", "Rev", "Hon", "Gov", "Sen", "Rep", "Maj"],
+    "it": ["Sig", r"Sig\.?ra", "Dott", r"Dott\.?ssa", "Prof", "Ing", "Avv", "Geom"],
+    "pt": ["Sra?", "Dra?", "Profa?", "Av", "Exm[oa]", "Eng"],
+}
 #: A name or more of the sentence follows.
 NEVER_LAST = {
-    "en": ["Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Sgt", "Lt", "Capt", "Col", "Gen", "Rev", "Hon", "Gov", "vol", "cf", r"i\.\s?e", r"e\.\s?g", "approx", "vs", "viz"],
+    "en": ["vol", "cf", r"i\.\s?e", r"e\.\s?g", "approx", "vs", "viz"],
+    "it": ["pag", "pagg", "cfr", r"p\.\s?es", "ca"],
+    "pt": ["pág", "págs", r"p\.\s?ex", "aprox"],
     "de": ["Dr", "Hr", "Fr", "Prof", "Nr", "ca", "bzw", r"z\.\s?B", r"d\.\s?h", r"u\.\s?a", r"o\.\s?ä", "vgl", "evtl", "ggf"],
     "fr": ["MM", "Mme", "Mlle", "Dr", "env", r"c\.-[aà]-d", "cf"],
     "es": ["Sr", "Sra", "Srta", "Dra?", "Dña", "Uds?", "aprox", r"p\.\s?ej", "pág", "núm"],
@@ -56,6 +70,8 @@ MAYBE_LAST = {
     "de": ["usw", r"u\.\s?s\.\s?w", r"v\.\s?Chr", r"n\.\s?Chr", "Jh"],
     "fr": ["etc", r"av\.\s?J\.-C"],
     "es": ["etc", r"a\.\s?C", r"d\.\s?C", r"EE\.\s?UU"],
+    "it": ["ecc", r"a\.\s?C", r"d\.\s?C"],
+    "pt": ["etc", r"a\.\s?C", r"d\.\s?C"],
     "ru": ["г", "гг", "руб", "коп", "тыс", "млн", r"т\.\s?д", r"т\.\s?п", r"др", "км", "м"],
 }
 #: Verbs of a reporting clause; it belongs to the quotation before it.
@@ -67,6 +83,17 @@ REPORTING = {
     "ru": ["сказал", "сказала", "спросил", "спросила", "крикнул", "крикнула", "ответил", "ответила", "закричал", "закричала"],
 }
 CHINESE_REPORTING = "说问喊道答叫"
+#: English verbs after which "no" is an answer, and nouns that a letter numbers.
+ANSWERS, LETTERED = ["answered", "replied", "said", "says", "say"], ["plan", "vitamin", "grade", "type", "class", "group", "section", "option", "team", "room"]
+# Frequent function words by language.
+FUNCTION_WORDS = {
+    "en": "the and of is was were to in that it with for on at by from he she they have had be not this".split(),
+    "de": "der die das und ist nicht ein eine mit von den dem des zu im auf für war hat sich aus am".split(),
+    "fr": "le la les et est des un une dans que qui du au pour pas sur avec il elle en a ce".split(),
+    "es": "el la los las y es de que en un una del por con no se al su para lo".split(),
+    "it": "il lo la gli e è di che un una del della per con non si nel sono ha".split(),
+    "pt": "o a os as e é de que um uma do da em por com não se no na para".split(),
+}
 #: Words that carry a sentence on after a pause.
 GOING_ON = {"zh": ["可是", "但是", "不过", "然而", "却", "而", "又", "就", "所以", "因为", "于是", "后来", "然后"], "ja": ["いや", "でも", "しかし", "だが", "そして", "それ", "と"]}
 
@@ -99,6 +126,8 @@ def _alike() -> tuple[dict[str, str], dict[str, str]]:
 
 def view(text: str) -> tuple[str, list[int]]:
     """The text as a reader sees it and, per character of it, the position in ``text``."""
+    if text.isascii():
+        return text, list(range(len(text)))
     signs = _one_sign()
     chars: list[str] = []
     at: list[int] = []
@@ -153,11 +182,13 @@ def _flat(table: dict[str, list[str]], *langs: str) -> list[str]:
 _START = r"[\p{Lu}\p{Lt}\p{Lo}\p{N}“„«「『(（\[\"'‘¿¡—–-]"
 
 
+#: How much of a sentence's start, and of what lies before a position, the rules see.
+OPENING, NEAR = 32, 96
 #: A break or no-break pair: the verdict, what ends at the position, what starts there.
 Rule = tuple[bool, str, str]
 #: Order of precedence; within each, the languages' rules come before the common ones.
 TIERS = ("token", "abbreviation", "quotation", "pause", "ending", "mark")
-LANGUAGES = ("en", "de", "fr", "es", "ru", "zh", "ja")
+LANGUAGES = ("en", "de", "fr", "es", "it", "pt", "ru", "zh", "ja")
 
 # French sets a space between the mark and the closing sign
 _CLOSE = r"(?:\s?[»›]|[”」』\"“’)）\]】》])*"
@@ -169,6 +200,15 @@ _QUOTED = r"(?s:^\s*[\"“„«].*[\"”»“])"
 def language_table(lang: str) -> dict[str, list[Rule]]:
     """The rules of one language by tier."""
     table: dict[str, list[Rule]] = {tier: [] for tier in TIERS}
+    if lang == "en":  # a lone "no", and a letter after the noun that it numbers, end a sentence
+        table["abbreviation"] += [(True, rf"(?i:\b{_any(ANSWERS)}) no\.", r"\s+\p{N}"), (True, rf"(?i:\b{_any(LETTERED)}) \p{{Lu}}\.", r"\s+\p{Lu}")]
+    if lang in TITLES:
+        titles = _flat(TITLES, lang)
+        table["abbreviation"] += [
+            (False, rf"{_WORD_START}{_any(titles)}\.", r"\s*[^\s\n]"),
+            # a text all in capitals, or in none
+            (False, rf"{_WORD_START}(?=\p{{Lu}}+\.)(?i:{_any(titles)})\.", r"\s*\p{Lu}"), (False, rf"{_WORD_START}(?i:{_any(titles)})\.", r"\s*\p{Ll}"),
+        ]
     if lang in NEVER_LAST:
         table["abbreviation"].append((False, rf"(?i:{_WORD_START}{_any(_flat(NEVER_LAST, lang))})\.", r"\s*[^\s\n]"))
     if lang in MAYBE_LAST:
@@ -218,7 +258,7 @@ def common_table() -> dict[str, list[Rule]]:
             (False, rf"{_WORD_START}{LETTER_TITLES}\.", r"\s?\p{L}"),
             (False, r"^\s*\p{L}\.", r"\s?\S"),
         ],
-        "quotation": [(False, _QUOTED, rf"\s(?:{_NAME}\s?){{1,3}}\Z")],  # the beginning of a reporting clause, in a cut text
+        "quotation": [(False, _QUOTED, rf"\s(?:{_NAME}\s?){{1,3}}\p{{Ll}}{{0,8}}\Z")],  # the beginning of a reporting clause, in a cut text
         "pause": [  # the sentence goes on unless a new one visibly starts
             (False, r"(?:…+|\.\.+)", r"\s?[\p{Ll},;:，；、]"),
             (False, r"\s\.\.+", r"\s?\S"),
@@ -231,8 +271,9 @@ def common_table() -> dict[str, list[Rule]]:
             # a quotation or bracket that ends with a mark: the sentence goes on in lower case or after a comma
             (False, rf"[{MARKS}](?:\s?[»›]|[”」』\"“’)）\]】》])+", r"\s*[\p{Ll},;:，；：、—–]"),
             (False, r"[)）\]】》›]", r"\s?[^\s]"),
-            (True, rf"[.!?。！？｡]{_CLOSE}", r"\s+\S"),
-            (True, rf"[。！？｡]{_CLOSE}", r"\S"),
+            (False, r"[!?]", r"\s\p{Ll}"),  # part of a name, or of what is exclaimed
+            (True, rf"[.!?{FULL_STOPS}]{_CLOSE}", r"\s+\S"),
+            (True, rf"[{FULL_STOPS}]{_CLOSE}", r"\S"),
             (True, rf"(?:[!?]|[\p{{L}}\p{{N}})]\.){_CLOSE}", rf"[\p{{Lu}}\p{{Lo}}“„«「『¿¡\"]|\p{{N}}"),
         ],
     }
@@ -243,9 +284,38 @@ def rules(langs: tuple[str, ...] = LANGUAGES) -> tuple[tuple[bool, regex.Pattern
     """The cascade of some languages: tier by tier, each language's table, then the common one."""
     tables = [*map(language_table, langs), common_table()]
     cascade = [rule for tier in TIERS for table in tables for rule in table[tier]]
-    return tuple((breaks, regex.compile(rf"(?:{before})\Z"), regex.compile(after)) for breaks, before, after in cascade)
+    return tuple((breaks, regex.compile(rf"(?:{before})\Z", regex.REVERSE), regex.compile(after)) for breaks, before, after in cascade)
+
 
+_SCRIPTS = (
+    (regex.compile(r"\p{Cyrillic}"), ("ru",)), (regex.compile(r"[\p{Hiragana}\p{Katakana}]"), ("ja", "zh")), (regex.compile(r"\p{Han}"), ("zh", "ja")),
+)
+_SPELLED = {w: tuple(lang for lang, words in FUNCTION_WORDS.items() if w in words) for words in FUNCTION_WORDS.values() for w in words}
 
+
+def languages_of(plain: str) -> tuple[str, ...]:
+    """The languages whose tables a text (of the view) needs, in the order of ``LANGUAGES``.
+
+    A script names its languages.  Of those in Latin letters all count that have half as many function words
+    as the one with the most; a text with Latin words of none may be in any of them.
+    """
+    found = {lang for script, langs in _SCRIPTS if script.search(plain) for lang in langs}
+    counts = dict.fromkeys(FUNCTION_WORDS, 0)
+    latin = False
+    for word in regex.findall(r"\p{Latin}+", plain.lower()):
+        latin = True
+        for lang in _SPELLED.get(word, ()):
+            counts[lang] += 1
+    most = max(counts.values())
+    if most:
+        found |= {lang for lang, n in counts.items() if 2 * n >= most}
+    elif latin or not found:
+        found |= set(FUNCTION_WORDS) if latin else set(LANGUAGES)
+    return tuple(lang for lang in LANGUAGES if lang in found)
+
+
+#: Stands for what a rule does not see.
+_ELISION = "\ufffc"
 _OPEN_DOUBLE = '"'
 
 
@@ -275,22 +345,23 @@ def shielded(line: str) -> list[tuple[int, int]]:
 def line_breaks(line: str, langs: tuple[str, ...] = LANGUAGES) -> list[int]:
     """Positions in a line (of the view) where a sentence ends and another starts."""
     table = rules(langs)
-    shields = shielded(line)
     inside = bytearray(len(line) + 1)
-    for lo, hi in shields:
-        for i in range(lo, min(hi, len(line))):
-            inside[i] = 1
+    for lo, hi in shielded(line):
+        inside[lo : min(hi, len(line))] = b"\x01" * (min(hi, len(line)) - lo)
+    end = len(line.rstrip())
     ends: list[int] = []
     begin = 0
     for i in _candidates(line, inside):
-        head, tail = line[begin:i], line[i:]
-        if not tail.strip():
+        if i >= end:
             break
+        head = line[begin:i] if i - begin <= OPENING + NEAR else line[begin : begin + OPENING] + _ELISION + line[i - NEAR : i]
         for breaks, before, after in table:
-            if before.search(head) and after.match(tail):
+            if after.match(line, i) and before.search(head):
                 if breaks:
                     ends.append(i)
-                    begin = i + len(tail) - len(tail.lstrip())
+                    begin = i
+                    while line[begin].isspace():
+                        begin += 1
                 break
     return ends
 
@@ -308,7 +379,7 @@ def _candidates(line: str, inside: bytearray) -> Iterator[int]:
         if ch in CLOSERS and not inside[i] and i and inside[i - 1]:
             # the closing sign of a shield, after a mark (French sets a space between)
             k = i - 1
-            while k >= 0 and line[k] == " ":
+            while k > i - NEAR and k > 0 and line[k] == " ":
                 k -= 1
             closed = line[k] in MARKS
             i += 1
@@ -322,11 +393,15 @@ def _candidates(line: str, inside: bytearray) -> Iterator[int]:
         i += 1
 
 
-def sentences(text: str, langs: tuple[str, ...] = LANGUAGES) -> list[tuple[int, int]]:
-    """``(from, to)`` of each sentence of a text, code points, without white space at either end."""
+def sentences(text: str, langs: tuple[str, ...] | None = None) -> list[tuple[int, int]]:
+    """``(from, to)`` of each sentence of a text, code points, without white space at either end.
+
+    ``langs`` are the languages whose tables apply; by default those it is written in.
+    """
     if not text or text.isspace():
         return []
     plain, at = view(text)
+    langs = langs or languages_of(plain)
     at.append(len(text))
     signs = _one_sign()
     out: list[tuple[int, int]] = []

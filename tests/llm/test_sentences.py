@@ -64,3 +64,49 @@ def test_rows(spark):
     assert sorted(map(tuple, S.sentence_positions(df).collect())) == [(1, 0, 0, 6), (1, 1, 7, 13)]
     assert S.sentence_positions(df.limit(0)).count() == 0
     assert S.sentence_positions(df).dtypes == [("seg_id", "bigint"), ("sent_no", "int"), ("char_from", "int"), ("char_to", "int")]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("He answered no. 5 people left.", ["He answered no.", "5 people left."]),
+        ("It stood at no. 5 for years.", ["It stood at no. 5 for years."]),
+        ("Plan B. We go.", ["Plan B.", "We go."]),
+        ("A. B. Smith came. We go.", ["A. B. Smith came.", "We go."]),
+        ("Call the gen. He came.", ["Call the gen.", "He came."]),
+        ("Gen. Smith came.", ["Gen. Smith came."]),
+        ("mr. smith and dr. jones came. they left.", ["mr. smith and dr. jones came.", "they left."]),
+        ("ST. JOHN CAME. HE LEFT.", ["ST. JOHN CAME.", "HE LEFT."]),
+        ("I saw the col. It was high.", ["I saw the col.", "It was high."]),
+        ("She works at Yahoo! and likes it.", ["She works at Yahoo! and likes it."]),
+        ("Il Sig. Rossi è qui. Va bene.", ["Il Sig. Rossi è qui.", "Va bene."]),
+        ("Moro na Av. Paulista agora. Sim.", ["Moro na Av. Paulista agora.", "Sim."]),
+        ("यह एक है। वह दो है। तीन।", ["यह एक है।", "वह दो है।", "तीन।"]),
+        ("ሰላም ነው። እንዴት ነህ።", ["ሰላም ነው።", "እንዴት ነህ።"]),
+        ("هل أنت هنا؟ نعم۔ حسنا. انتهى", ["هل أنت هنا؟", "نعم۔", "حسنا.", "انتهى"]),
+        ('"Who came?" Mary Smith ask', ['"Who came?" Mary Smith ask']),
+    ],
+)
+def test_more_scripts_and_ambiguous_dots(text, want):
+    assert [text[a:b] for a, b in S.sentences(text)] == want
+
+
+def test_tables_follow_the_text():
+    assert S.languages_of("Das ist der alte Turm.") == ("de",)
+    assert set(S.languages_of("Он пришёл. The bell was in the tower.")) == {"en", "ru"}
+    assert set(S.languages_of("他来了。")) == {"zh", "ja"} and set(S.languages_of("xyz")) == set(S.FUNCTION_WORDS) and set(S.languages_of("123")) == set(S.LANGUAGES)
+    text = "Der Turm ist alt etc. Wir gehen zum Haus."  # an abbreviation of other languages
+    assert S.rules(("de",)) != S.rules(("en",)) and len(S.sentences(text)) == 2
+
+
+def test_time_is_linear():
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        S.sentences("e.g. foo " * n)
+        return time.perf_counter() - began
+
+    took(100)
+    small, large = took(1000), took(16_000)
+    assert large < 16 * small * 3
