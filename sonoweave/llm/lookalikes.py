@@ -9,6 +9,7 @@ scripts that look alike come out as one of them.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -48,7 +49,8 @@ def tables() -> tuple[str, str, list[tuple[str, str]], str]:
     several: list[tuple[str, str]] = []
     hidden = ""
     alike = {x: to for group in (SAME_AS_UPPER, SAME_AS_LOWER, SAME_KANA) for to, xs in group.items() for x in xs}
-    for c in range(0x20, 0x30000):
+    # the planes between have no signs yet; the tags and variation selectors of plane 14 are invisible
+    for c in itertools.chain(range(0x20, 0x34000), range(0xE0000, 0xE1000)):
         ch = chr(c)
         if 0xD800 <= c <= 0xDFFF:
             continue

@@ -2,14 +2,50 @@
 
 from __future__ import annotations
 
-from sonoweave.llm.lookalikes import one_form_sql
+import itertools
+import unicodedata
+
+from sonoweave.llm.lookalikes import DISTINCT, SAME_AS_LOWER, SAME_AS_UPPER, SAME_KANA, SAME_LOOK
 from sonoweave.llm.truncation import AROUND, CLOSED, LEAST_VOTES, TAIL, UNSPACED
 
+
+
+def _look(ch: str) -> str:
+    """What one sign looks like, by the Unicode database: nothing, a space, plain letters or itself."""
+    code = ord(ch)
+    if unicodedata.category(ch) == "Cf" and not 0x600 <= code <= 0x605 or code in (0x34F, 0x115F, 0x1160, 0x3164, 0xFFA0) or 0xFE00 <= code <= 0xFE0F or 0xE0100 <= code <= 0xE01EF:
+        return ""
+    if unicodedata.category(ch) == "Zs":
+        return " "
+    plain = ch
+    if unicodedata.decomposition(ch).split(" ")[0] in SAME_LOOK and ch not in DISTINCT:
+        wide = unicodedata.normalize("NFKC", ch)
+        if len(wide) == 1 and not wide.isspace() or wide.isascii() and all(x.isalpha() or x in "!?" for x in wide):
+            plain = wide
+    alike = {x: to for group in (SAME_AS_UPPER, SAME_AS_LOWER, SAME_KANA) for to, xs in group.items() for x in xs}
+    return unicodedata.normalize("NFC", "".join(alike.get(x, x) for x in unicodedata.normalize("NFD", plain)))
+
+
+def _looks() -> str:
+    """Rows ``(sign, look)`` of the signs that look like something else."""
+    signs = map(chr, itertools.chain(range(0x80, 0x3400), range(0xF900, 0x10000), range(0x1D400, 0x1D800), range(0x1F100, 0x1F200), range(0xE0000, 0xE1000)))
+    pairs = ((ch, _look(ch)) for ch in signs if unicodedata.category(ch) != "Cs")
+    quoted = ((ord(ch), to.replace("'", "''")) for ch, to in pairs if to != ch)
+    return ", ".join(f"(chr({code}), '{to}')" for code, to in quoted)
+
+
+#: Sign by sign, against a table of looks, and composed: not the expression that the operator runs.
 _FORMS = f"""
 WITH rows AS (
   SELECT DISTINCT ON (seg_id) seg_id, text AS t FROM segments
   WHERE type = 'sentence' AND text IS NOT NULL ORDER BY seg_id, loaded_at
-), forms AS (SELECT seg_id, t, one_form AS form FROM ({one_form_sql("SELECT seg_id, t FROM rows")}))
+), looks(sign, look) AS (VALUES {_looks()}), signs AS (
+  SELECT seg_id, i, substr(n, i, 1) AS sign FROM (
+    SELECT seg_id, n, unnest(range(1, length(n) + 1)) AS i FROM (SELECT seg_id, nfc_normalize(t) AS n FROM rows WHERE strlen(t) > length(t))
+  )
+), built AS (
+  SELECT seg_id, nfc_normalize(string_agg(coalesce(look, sign), '' ORDER BY i)) AS form FROM signs LEFT JOIN looks USING (sign) GROUP BY seg_id
+), forms AS (SELECT seg_id, t, coalesce(form, t) AS form FROM rows LEFT JOIN built USING (seg_id))
 """
 
 #: Windows of 100 code points, those that another document has too, and their union per document.

@@ -11,6 +11,7 @@ SAME = [
     ("the café, 12", "ｔｈｅ café， １２"), ("the café, 12", "t​he café,\xa012"), ("Case Open", "Саsе Оpеn"), ("Mat", "Μаt"), ("ﬁre", "fire"), ("人马", "⼈马"),
     ("了", "了"), ("ガ", "ｶﾞ"), ("ガ", "ガ"), ("パン", "ﾊﾟﾝ"), ("«Стой»", "«C⁠тoй»"), ("ëa", "ёа"), ("a b", "a b"), ("x\xady", "xy"), ("ヘビ", "へビ"),
     ("é", "ｅ́"), ("ü", "u‍̈"), ("Ⅳ", "IV"), ("K", "K"), ("it﻿", "it"),
+    ("ab", "a\U000e0101b"), ("ab", "a\U000e0061b"),
 ]
 DIFFERENT = [("a", "A"), ("é", "e"), ("a b", "a  b"), ("a,", "a;"), ("…", "..."), ("’", "'"), ("ab", "ac"), ("й", "и"), ("1", "l"), ("a\nb", "a b"), ("ガ", "カ"), ("–", "-")]
 
