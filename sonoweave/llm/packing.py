@@ -6,11 +6,16 @@ of *fillings*, each a multiset of sizes and the number of containers filled so.
 Documents of one size are then dealt to the plan's places by their rank among
 equals.  The rank is taken in two levels (counts per hash bucket, then a rank in
 the bucket), so a size that a third of all documents share is ranked by as many
-tasks as there are buckets.
+tasks as there are buckets, and there are more of them the more documents share one.
+
+The search has a budget (:class:`Search`): it ends with the best packing found,
+which is never worse than best fit.  ``EXACT`` has none and ends with the least
+number of containers; its time is exponential in the number of different fillings.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,8 +27,24 @@ from pyspark.sql import functions as F
 from sonoweave.llm.tokens import BYTE_BPE_50K, count_tokens
 from sonoweave.session import reliable
 
-#: Buckets of one size for ranking; each holds at most 1/64 of the documents of a size.
-RANK_BUCKETS = 64
+#: Items of one size that are ranked by one task, about.
+RANK_ROWS = 1 << 18
+#: Bytes of a dealing table that may be broadcast; a larger one is joined.
+BROADCAST_BYTES = 64 << 20
+
+
+@dataclass(frozen=True)
+class Search:
+    """How far a search goes: fillings kept per branching, nodes for finding them, branchings; and whether a filling is
+    applied as often as it can be at once.  ``math.inf`` is no bound."""
+
+    keep: float = 3
+    budget: float = 400
+    nodes: float = 20_000
+    at_once: bool = True
+
+
+EXACT = Search(math.inf, math.inf, math.inf, at_once=False)
 
 
 @dataclass(frozen=True)
@@ -88,7 +109,7 @@ def _dominated(small: tuple[int, ...], big: tuple[int, ...]) -> bool:
     return True
 
 
-def completions(counts: dict[int, int], sizes: list[int], room: int, keep: int, budget: int) -> list[tuple[int, ...]]:
+def completions(counts: dict[int, int], sizes: list[int], room: int, keep: float, budget: float) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` around the largest item, least waste first.
 
     Depth first over sizes in descending order; a branch ends where nothing fits.
@@ -139,14 +160,14 @@ def completions(counts: dict[int, int], sizes: list[int], room: int, keep: int,
     return kept or [()]
 
 
-def bin_completion(counts: dict[int, int], capacity: int, keep: int = 3, budget: int = 400, nodes: int = 20_000) -> list[Filling]:
+def bin_completion(counts: dict[int, int], capacity: int, search: Search = Search()) -> list[Filling]:
     """Pack ``counts`` (size -> number) into as few containers of ``capacity`` as the search finds.
 
     The largest item left must lie in some container: branch over its undominated
     fillings, applying one as often as the counts allow.  A branch is cut where
     the containers so far plus the least number for the rest (its total over the
     capacity, rounded up: the waste bound) cannot beat the incumbent, which is
-    best-fit decreasing at first.  ``nodes`` bounds the search; the incumbent is a
+    best-fit decreasing at first.  ``search`` bounds it; the incumbent is a
     whole packing at any time, so nothing is ever left out.
     """
     counts = {int(s): int(n) for s, n in counts.items() if n > 0}
@@ -168,7 +189,7 @@ def bin_completion(counts: dict[int, int], capacity: int, keep: int = 3, budget:
         rest[first] -= 1
         if not rest[first]:
             del rest[first]
-        return [(first, *c) for c in completions(rest, sorted(rest, reverse=True), capacity - first, keep, budget)]
+        return [(first, *c) for c in completions(rest, sorted(rest, reverse=True), capacity - first, search.keep, search.budget)]
 
     def undo(taken: Filling) -> None:
         nonlocal bins, used_total
@@ -179,7 +200,7 @@ def bin_completion(counts: dict[int, int], capacity: int, keep: int = 3, budget:
 
     if best_bins > least:
         stack.append([options(), None])
-    while stack and visited < nodes and best_bins > least:
+    while stack and visited < search.nodes and best_bins > least:
         todo, taken = stack[-1]
         if taken is not None:
             undo(taken)
@@ -193,7 +214,7 @@ def bin_completion(counts: dict[int, int], capacity: int, keep: int = 3, budget:
         need: dict[int, int] = {}
         for s in sizes:
             need[s] = need.get(s, 0) + 1
-        filling = Filling(sizes, min(left[s] // n for s, n in need.items()))
+        filling = Filling(sizes, min(left[s] // n for s, n in need.items()) if search.at_once else 1)
         for s, n in need.items():
             left[s] -= n * filling.times
             if not left[s]:
@@ -211,10 +232,10 @@ def bin_completion(counts: dict[int, int], capacity: int, keep: int = 3, budget:
     return best
 
 
-def plan_containers(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
+def plan_containers(histogram: dict[int, int], capacity: int, search: Search = Search()) -> dict[str, np.ndarray]:
     """The dealing table of a capacity: sorted ranges of (size, rank) and the containers they go to."""
-    fillings = bin_completion(histogram, capacity)
-    size, first, base, per = [], [], [], []
+    fillings = bin_completion(histogram, capacity, search)
+    size, first, base, per, times = [], [], [], [], []
     taken: dict[int, int] = {}
     container = 0
     for f in fillings:
@@ -226,11 +247,12 @@ def plan_containers(histogram: dict[int, int], capacity: int) -> dict[str, np.nd
             first.append(taken.get(s, 0))
             base.append(container)
             per.append(n)
+            times.append(f.times)
             taken[s] = taken.get(s, 0) + n * f.times
         container += f.times
     order = np.lexsort((first, size)) if size else np.array([], dtype=np.int64)
     pick = lambda a: np.array(a, dtype=np.int64)[order] if len(order) else np.array([], dtype=np.int64)
-    return {"size": pick(size), "first": pick(first), "base": pick(base), "per": pick(per), "containers": np.int64(container)}
+    return {"size": pick(size), "first": pick(first), "base": pick(base), "per": pick(per), "times": pick(times), "containers": np.int64(container)}
 
 
 def item_sizes(sizes: DataFrame, capacities: DataFrame) -> DataFrame:
@@ -253,9 +275,9 @@ def item_sizes(sizes: DataFrame, capacities: DataFrame) -> DataFrame:
     )
 
 
-def ranked_items(items: DataFrame) -> DataFrame:
+def ranked_items(items: DataFrame, buckets: int = 64) -> DataFrame:
     """``items`` with ``rank``: a number from 0 among the items of one kind and size, each number once."""
-    spread = items.withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(RANK_BUCKETS)))
+    spread = items.withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     keys = ["size_name", "item", "_b"]
     offsets = (
         spread.groupBy(*keys)
@@ -267,7 +289,51 @@ def ranked_items(items: DataFrame) -> DataFrame:
     return spread.withColumn("_r", inside).join(offsets, keys).withColumn("rank", F.col("_r") + F.col("_o")).drop("_b", "_r", "_o")
 
 
-def pack_documents(documents: DataFrame, capacities: DataFrame, path: str = BYTE_BPE_50K) -> DataFrame:
+PACKED = "size_name string, container bigint, doc_id bigint, token_from bigint, token_to bigint"
+
+
+def _dealt_by_search(ranked: DataFrame, plans: dict[str, dict[str, np.ndarray]]) -> DataFrame:
+    """The shared containers' rows, by binary search in the broadcast dealing tables."""
+    tables = ranked.sparkSession.sparkContext.broadcast(plans)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = np.array(batch.column("size_name").to_pylist(), dtype=object)
+            item = batch.column("item").to_numpy(zero_copy_only=False)
+            rank = batch.column("rank").to_numpy(zero_copy_only=False)
+            where = np.zeros(len(item), dtype=np.int64)
+            for name in set(names.tolist()):
+                t = tables.value[name]
+                rows = np.flatnonzero(names == name)
+                # one sorted key of (size, rank): ranks stay far below 2**40
+                at = np.searchsorted((t["size"] << 40) + t["first"], (item[rows].astype(np.int64) << 40) + rank[rows], side="right") - 1
+                where[rows] = t["base"][at] + (rank[rows] - t["first"][at]) // t["per"][at]
+            full = (batch.column("tokens").to_numpy(zero_copy_only=False) - item).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("size_name"), pa.array(where), batch.column("doc_id"), pa.array(full), batch.column("tokens")],
+                names=["size_name", "container", "doc_id", "token_from", "token_to"],
+            )
+
+    return ranked.mapInArrow(deal, PACKED)
+
+
+def _dealt_by_join(ranked: DataFrame, plans: dict[str, dict[str, np.ndarray]]) -> DataFrame:
+    """The same by a join: a range of ranks is cut into its containers, each a row with the ranks it takes.
+
+    The join is by kind, size and a stretch of ranks, so that no size is one group.
+    """
+    fields = ("size", "first", "base", "per", "times")
+    rows = [(name, *map(int, r)) for name, t in plans.items() for r in zip(*(t[f] for f in fields), strict=True)]
+    table = ranked.sparkSession.createDataFrame(rows, "size_name string, item bigint, first bigint, base bigint, per bigint, times bigint")
+    stretch = lambda rank: F.shiftright(rank, 12)
+    last = F.col("first") + F.col("per") * F.col("times") - 1
+    table = table.select("size_name", "item", "first", "base", "per", last.alias("last"), F.explode(F.sequence(stretch(F.col("first")), stretch(last))).alias("_s"))
+    met = ranked.withColumn("_s", stretch(F.col("rank"))).join(table, ["size_name", "item", "_s"]).where(F.col("rank").between(F.col("first"), F.col("last")))
+    container = F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("per"))
+    return met.select("size_name", container.cast("bigint").alias("container"), "doc_id", (F.col("tokens") - F.col("item")).alias("token_from"), F.col("tokens").alias("token_to"))
+
+
+def pack_documents(documents: DataFrame, capacities: DataFrame, path: str = BYTE_BPE_50K, search: Search = Search()) -> DataFrame:
     """Every document with tokens in a container of each capacity.
 
     Columns ``size_name, container bigint, doc_id, token_from, token_to``: the
@@ -281,46 +347,40 @@ def pack_documents(documents: DataFrame, capacities: DataFrame, path: str = BYTE
     are no containers.  Repeated documents are separate items.  No document or no
     capacity gives an empty result.
 
+    ``search`` bounds the search for fillings; ``EXACT`` needs the least number of shared containers.
+
     Collected to the driver: the histogram of item sizes, at most the sum of the
     capacities in rows.
     """
-    sizes = reliable(count_tokens(documents, path))
+    return packed(reliable(count_tokens(documents, path)), capacities, search)
+
+
+def packed(sizes: DataFrame, capacities: DataFrame, search: Search = Search()) -> DataFrame:
+    """As :func:`pack_documents`, of ``sizes(doc_id, tokens)``."""
     items = item_sizes(sizes, capacities)
     shared = items.where(F.col("item") > 0)
     plans: dict[str, dict[str, np.ndarray]] = {}
     histograms: dict[tuple[str, int], dict[int, int]] = {}
-    for row in shared.groupBy("size_name", "capacity", "item").agg(F.count("*").alias("n")).collect():
-        histograms.setdefault((row["size_name"], row["capacity"]), {})[row["item"]] = row["n"]
+    most, full_items = 0, {}
+    over = F.sum((F.col("tokens") > F.col("capacity")).cast("bigint")).alias("over")
+    for row in items.groupBy("size_name", "capacity", "item").agg(F.count("*").alias("n"), over).collect():
+        full_items[row["size_name"]] = full_items.get(row["size_name"], 0) + row["over"]
+        if row["item"]:
+            histograms.setdefault((row["size_name"], row["capacity"]), {})[row["item"]] = row["n"]
+            most = max(most, row["n"])
     for (name, capacity), histogram in histograms.items():
-        plans[name] = plan_containers(histogram, capacity)
-    tables = items.sparkSession.sparkContext.broadcast(plans)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = np.array(batch.column("size_name").to_pylist(), dtype=object)
-            item = batch.column("item").to_numpy(zero_copy_only=False)
-            rank = batch.column("rank").to_numpy(zero_copy_only=False)
-            where = np.zeros(len(item), dtype=np.int64)
-            for name in set(names.tolist()):
-                t = tables.value[name]
-                rows = np.flatnonzero(names == name)
-                # one sorted key of (size, rank): ranks stay far below 2**40
-                at = np.searchsorted((t["size"] << 40) + t["first"], (item[rows].astype(np.int64) << 40) + rank[rows], side="right") - 1
-                where[rows] = t["base"][at] + (rank[rows] - t["first"][at]) // t["per"][at]
-            full = (batch.column("tokens").to_numpy(zero_copy_only=False) - item).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("size_name"), pa.array(where), batch.column("doc_id"), pa.array(full), batch.column("tokens")],
-                names=["size_name", "container", "doc_id", "token_from", "token_to"],
-            )
+        plans[name] = plan_containers(histogram, capacity, search)
+    buckets = 1 + max(most, *full_items.values(), 0) // RANK_ROWS
 
-    schema = "size_name string, container bigint, doc_id bigint, token_from bigint, token_to bigint"
-    dealt = ranked_items(shared).select("size_name", "item", "rank", "tokens", "doc_id").mapInArrow(deal, schema)
+    ranked = ranked_items(shared, buckets).select("size_name", "item", "rank", "tokens", "doc_id")
+    small = sum(a.nbytes for t in plans.values() for a in t.values()) <= BROADCAST_BYTES
+    dealt = (_dealt_by_search if small else _dealt_by_join)(ranked, plans)
     # whole containers of over-long documents, numbered on from the shared ones
     after = {name: int(t["containers"]) for name, t in plans.items()}
     wholes = (
         items.where(F.col("tokens") > F.col("capacity"))
         .withColumn("_k", F.floor(F.col("tokens") / F.col("capacity")))
-        .withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(RANK_BUCKETS)))
+        .withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
     )
     in_bucket = Window.partitionBy("size_name", "_b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     before_bucket = Window.partitionBy("size_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -69,7 +69,7 @@ def test_bin_completion_is_optimal_for_few_items():
     for _ in range(150):
         capacity = rng.randrange(6, 40)
         items = sorted((rng.randrange(1, capacity + 1) for _ in range(rng.randrange(1, 9))), reverse=True)
-        plan = K.bin_completion(Counter(items), capacity, keep=10)
+        plan = K.bin_completion(Counter(items), capacity, K.EXACT)
         assert held(plan) == Counter(items) and all(sum(f.sizes) <= capacity for f in plan)
         assert sum(f.times for f in plan) == least_bins(items, capacity)
 
@@ -86,6 +86,25 @@ def test_bin_completion_beats_or_equals_best_fit():
         K.bin_completion({6: 1}, 5)
 
 
+def test_exact_packing_through_the_operator(spark, monkeypatch):
+    """``packed`` with ``EXACT`` needs as few containers as an exhaustive search, dealt by search or by join, whatever the buckets."""
+    monkeypatch.setattr(K, "RANK_ROWS", 2)
+    rng = random.Random(12)
+    kinds = []
+    for i in range(6):
+        capacity = rng.randrange(9, 30)
+        kinds.append((f"k{i}", capacity))
+    sizes = sorted((rng.randrange(2, 9) for _ in range(9)), reverse=True)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(sizes)], "doc_id bigint, tokens bigint")
+    caps = spark.createDataFrame(kinds, "size_name string, capacity_tokens bigint")
+    by_search = sorted(map(tuple, K.packed(df, caps, K.EXACT).collect()))
+    for name, capacity in kinds:
+        used = {r[1] for r in by_search if r[0] == name}
+        assert len(used) == least_bins(sizes, capacity) and sorted(r[2] for r in by_search if r[0] == name) == list(range(len(sizes)))
+    monkeypatch.setattr(K, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, K.packed(df, caps, K.EXACT).collect())) == by_search
+
+
 def test_dominance():
     assert K._dominated((2, 2), (4,)) and not K._dominated((4,), (2, 2)) and K._dominated((), (1,))
 
