@@ -22,33 +22,45 @@ def _long(df: DataFrame, *features: str) -> DataFrame:
     return df.select("utt_id", F.explode(each).alias("_f")).select("utt_id", "_f.feature", "_f.value")
 
 
-def clause_features(words: DataFrame, frames: DataFrame | None = None) -> DataFrame:
-    """``utt_id, feature, value``: duration and speed of each clause, and its mean energy if there are frames.
+def clause_spans(words: DataFrame) -> DataFrame:
+    """The clauses that last, with ``start, end, duration`` as calibration takes them."""
+    own = lambda c, word: F.when(F.col("closed"), F.col(c)).otherwise(F.col(word))
+    rows = G.clauses(words).withColumns({"start": own("start", "first_start"), "end": own("end", "last_end")})
+    return rows.withColumn("duration", F.col("end") - F.col("start")).where(F.col("duration") > 0)
 
-    Clauses that do not last are skipped as a whole; the speed needs a positive effective duration, the energy a frame.
+
+def clause_features(words: DataFrame, frames: DataFrame | None = None, loudness: DataFrame | None = None) -> DataFrame:
+    """``utt_id, feature, value``: duration and speed of each clause, its mean energy if there are frames, its
+    loudness if there is ``loudness(utt_id, clause_id, lufs)`` of the clauses of :func:`clause_spans`.
+
+    A clause has the times of its clause row; words after the last one count from their first start to their
+    last end.  Clauses that do not last are skipped as a whole; the speed needs a positive effective duration,
+    the energy a frame.
     """
-    rows = G.clauses(words).withColumn("duration", F.col("end") - F.col("start")).where(F.col("duration") > 0)
+    rows = clause_spans(words)
     effective = G.effective_duration(clamp=True)
     out = _long(rows.withColumn("speed", F.when(effective > 0, F.col("n_words") / effective)), "duration", "speed")
     if frames is not None:
-        out = out.unionByName(_frame_feature(rows, frames, "energy", ["clause_id"]))
+        out = out.unionByName(_frame_feature(rows, frames, "energy", ["clause_id"], "first_pos"))
+    if loudness is not None:
+        out = out.unionByName(_long(loudness.withColumnRenamed("lufs", "loudness_lufs"), "loudness_lufs"))
     return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def word_features(words: DataFrame, frames: DataFrame | None = None) -> DataFrame:
     """``utt_id, feature, value``: duration of each word that lasts, and its mean energy if there are frames."""
-    rows = words.withColumn("word_duration", F.col("end") - F.col("start")).where(F.col("word_duration") > 0)
+    rows = G.only_words(words).withColumn("word_duration", F.col("end") - F.col("start")).where(F.col("word_duration") > 0)
     out = _long(rows, "word_duration")
     if frames is not None:
-        out = out.unionByName(_frame_feature(rows, frames, "word_energy", ["wi"]))
+        out = out.unionByName(_frame_feature(rows, frames, "word_energy", ["wi"], "pos"))
     return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def _frame_feature(spans: DataFrame, frames: DataFrame, feature: str, keep: list[str]) -> DataFrame:
+def _frame_feature(spans: DataFrame, frames: DataFrame, feature: str, keep: list[str], at: str) -> DataFrame:
     from sonoweave.functions import frames as A
 
     mean = lambda s, e: A.mean(A.time_slice(F.col("energy"), s, e, F.col("sr"), F.col("hop")))
-    return C.span_values(spans, frames, keep, mean).select("utt_id", F.lit(feature).alias("feature"), F.col("v").alias("value"))
+    return C.span_values(spans, frames, keep, mean, at).select("utt_id", F.lit(feature).alias("feature"), F.col("v").alias("value"))
 
 
 def statistics(features: DataFrame, about: DataFrame) -> DataFrame:
@@ -66,9 +78,9 @@ def full_grid(stats: DataFrame) -> DataFrame:
     return groups.join(stats, ["lang_style", "feature"], "left").select("lang_style", "feature", zero("n", 0), zero("mean", 0.0), zero("std", 0.0))
 
 
-def calibrate(words: DataFrame, utterances: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+def calibrate(words: DataFrame, utterances: DataFrame, frames: DataFrame | None = None, loudness: DataFrame | None = None) -> DataFrame:
     """Statistics of all features over all words; each utterance counts all or nothing."""
-    features = clause_features(words, frames).unionByName(word_features(words, frames))
+    features = clause_features(words, frames, loudness).unionByName(word_features(words, frames))
     return full_grid(statistics(features, C.about_utterances(utterances)))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonoweave.functions import text as T
-from sonoweave.operators.segments import _delivered, usable
+from sonoweave.operators.segments import _delivered, in_list_blocks, only_words, usable
 
 # Priority of a control type; others come last.
 PRIORITY = {"style": 0, "emotion": 1, "speed": 2, "volume": 3, "pitch": 4, "break": 5, "emphasis": 6}
@@ -56,7 +56,7 @@ def limit_per_clause(controls: DataFrame, words: DataFrame, most: int | None) ->
         return controls
     if most < 0:
         raise ValueError("the number of controls per clause cannot be negative")
-    place = words.select("utt_id", F.col("pos").cast("int").alias("pos"), F.col("clause_id"))
+    place = only_words(words).select("utt_id", F.col("pos").cast("int").alias("pos"), F.col("clause_id"))
     order = Window.partitionBy("utt_id", "_c").orderBy(priority(F.col("type")), "ext_order", "pos", "value")
     return (
         controls.join(place, ["utt_id", "pos"], "left")
@@ -78,7 +78,7 @@ def formatted(controls: DataFrame) -> DataFrame:
 def control_text(words: DataFrame, controls: DataFrame) -> DataFrame:
     """``utt_id, text``: words joined by spaces, each after its tags; a null word is empty."""
     tags = formatted(controls)
-    rows = words.select("utt_id", F.col("pos").cast("int").alias("pos"), "wi", "text").join(tags, ["utt_id", "pos"], "left")
+    rows = only_words(words).select("utt_id", F.col("pos").cast("int").alias("pos"), "wi", "text").join(tags, ["utt_id", "pos"], "left")
     shown = F.concat(F.coalesce("tags", F.lit("")), F.coalesce("text", F.lit("")))
     listed = rows.groupBy("utt_id").agg(F.sort_array(F.collect_list(F.struct("wi", shown.alias("s")))).alias("w"))
     return listed.select("utt_id", F.array_join(F.transform("w", lambda x: x["s"]), " ").alias("text"))
@@ -88,17 +88,32 @@ def segment_context(segments: DataFrame) -> DataFrame:
     """Each row of a segment list with the end of the word before it and the spans of the clause and sentence it lies in.
 
     ``utt_id, pos, start, end, before, clause, sentence``: the clause (sentence) row at or after the position.
+    Found inside blocks of positions, and across blocks from a row for each.
     """
-    rows = _delivered(segments.select("seg_id", "utt_id", "pos", "start", "end", "type", "loaded_at"))
-    rows = rows.withColumn("start", usable(F.col("start"))).withColumn("end", usable(F.col("end")))
-    forward = Window.partitionBy("utt_id").orderBy("pos", "seg_id").rowsBetween(Window.unboundedPreceding, -1)
-    backward = Window.partitionBy("utt_id").orderBy(F.desc("pos"), F.desc("seg_id")).rowsBetween(Window.unboundedPreceding, 0)
-    span = F.struct("start", "end")
-    of = lambda kind: F.last(F.when(F.col("type") == kind, span), ignorenulls=True).over(backward)
-    return rows.select(
-        "utt_id", "pos", "start", "end",
-        F.last(F.when(F.col("type") == "word", F.struct("end")), ignorenulls=True).over(forward)["end"].alias("before"),
-        of("clause").alias("clause"), of("sentence").alias("sentence"),
+    columns = ("seg_id", "utt_id", "pos", "start", "end", "type", "loaded_at")
+    rows = _delivered(in_list_blocks(segments.select(*columns).withColumns({c: usable(F.col(c)) for c in ("start", "end")})))
+    forward = Window.partitionBy("utt_id", "_block").orderBy("pos", "seg_id").rowsBetween(Window.unboundedPreceding, -1)
+    backward = Window.partitionBy("utt_id", "_block").orderBy(F.desc("pos"), F.desc("seg_id")).rowsBetween(Window.unboundedPreceding, 0)
+    span, kinds = F.struct("start", "end"), ("word", "clause", "sentence")
+    own = {k: F.when(F.col("type") == k, span) for k in kinds}
+    near = rows.select(
+        "utt_id", "_block", "pos", "start", "end", F.last(own["word"], ignorenulls=True).over(forward).alias("word"),
+        *[F.last(own[k], ignorenulls=True).over(backward).alias(k) for k in kinds[1:]],
+    )
+    place = F.struct("pos", "seg_id", span.alias("x"))
+    edges = rows.groupBy("utt_id", "_block").agg(
+        F.max(F.when(F.col("type") == "word", place))["x"].alias("word"), *[F.min(F.when(F.col("type") == k, place))["x"].alias(k) for k in kinds[1:]]
+    )
+    earlier = Window.partitionBy("utt_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("utt_id").orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    far = edges.select(
+        F.col("utt_id").alias("_u"), F.col("_block").alias("_b"), F.last("word", ignorenulls=True).over(earlier).alias("_word"),
+        *[F.last(k, ignorenulls=True).over(later).alias(f"_{k}") for k in kinds[1:]],
+    )
+    joined = near.join(far, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")))
+    return joined.select(
+        "utt_id", "pos", "start", "end", F.coalesce("word", "_word")["end"].alias("before"),
+        F.coalesce("clause", "_clause").alias("clause"), F.coalesce("sentence", "_sentence").alias("sentence"),
     )
 
 
@@ -137,7 +152,7 @@ def segment_table(segments: DataFrame, tags: DataFrame) -> DataFrame:
 
 def highlight_spans(words: DataFrame, tags: DataFrame) -> DataFrame:
     """``utt_id, wi, n, span, label``: each word's tags one by one, then the word itself with its first tag as label."""
-    rows = words.select("utt_id", F.col("pos").cast("int").alias("pos"), "wi", "text").join(tags, ["utt_id", "pos"], "left")
+    rows = only_words(words).select("utt_id", F.col("pos").cast("int").alias("pos"), "wi", "text").join(tags, ["utt_id", "pos"], "left")
     found = T.tag_spans(F.col("tags"))
     kind = lambda t: F.regexp_extract(t, r"\[([^=\]]*)", 1)
     first = F.get(found, F.lit(0))

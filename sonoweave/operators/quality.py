@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonoweave.operators.segments import only_words
+
 SCORED = ("speed", "volume", "pitch", "emphasis")
 
 
@@ -14,7 +16,7 @@ def density(controls: DataFrame, words: DataFrame, about: DataFrame) -> DataFram
     Style controls do not count.
     """
     counted = controls.where(F.col("type") != "style").groupBy("utt_id").agg(F.count("*").alias("c"))
-    size = words.groupBy("utt_id").agg(F.count("*").alias("w"), F.countDistinct("clause_id").alias("cl"))
+    size = only_words(words).groupBy("utt_id").agg(F.count("*").alias("w"), F.countDistinct("clause_id").alias("cl"))
     rows = size.join(counted, "utt_id", "left").join(about.select("utt_id", "lang"), "utt_id", "left")
     rows = rows.select(F.coalesce("lang", F.lit("unknown")).alias("lang"), "utt_id", "w", "cl", F.coalesce("c", F.lit(0)).alias("c"))
     total = rows.rollup("lang", "utt_id").agg(F.sum("c").alias("n_controls"), F.sum("w").alias("n_words"), F.sum("cl").alias("n_clauses"))

@@ -3,8 +3,13 @@
 Order is explicit: ``wi`` numbers the words of an utterance and ``pos`` the rows
 of its interleaved list (each word, then the clause it closes, then the sentence
 it closes).  ``pos = wi + clause_id + sent_id`` for words; a clause row follows
-its last word and a sentence row follows that.  All windows of an utterance use
-one partitioning and one order, so they share one exchange and one sort.
+its last word and a sentence row follows that.
+
+Stored lists are read in blocks of positions: counts run inside a block, and each
+block is given what the blocks before it hold, a row per block.  So no task
+depends on the length of one utterance.  What an operator needs of the word
+before (``prev``) is found with the counts; windows are used only where a list
+was made in this session and does not have it.
 """
 
 from __future__ import annotations
@@ -118,10 +123,20 @@ def attach_times(tokens: DataFrame, items: DataFrame) -> DataFrame:
     return words.join(starts, ["utt_id", "first"], "left").join(ends, ["utt_id", "last"], "left").select("utt_id", "wi", "text", "start", "end")
 
 
+#: Positions per block of a stored list.
+BLOCK = 4096
+
+
+def in_list_blocks(segments: DataFrame) -> DataFrame:
+    """Add ``_block``; rows without a position come before all others."""
+    return segments.withColumn("_block", F.coalesce(F.floor(F.col("pos") / F.lit(BLOCK)), F.lit(-1)))
+
+
 def _delivered(segments: DataFrame) -> DataFrame:
-    """Rows of a stored segment list in order, each once: copies of a row lie next to each other."""
-    order = Window.partitionBy("utt_id").orderBy("pos", "seg_id", "loaded_at")
-    return segments.withColumn("_copy", F.coalesce(F.lag("seg_id").over(order) == F.col("seg_id"), F.lit(False))).where(~F.col("_copy")).drop("_copy")
+    """Rows of a stored segment list, each once: copies of a row share their utterance and position and lie next to each other."""
+    order = Window.partitionBy("utt_id", "_block").orderBy("pos", "seg_id", "loaded_at")
+    rows = segments if "_block" in segments.columns else in_list_blocks(segments)
+    return rows.withColumn("_copy", F.coalesce(F.lag("seg_id").over(order) == F.col("seg_id"), F.lit(False))).where(~F.col("_copy")).drop("_copy")
 
 
 def usable(seconds: Column) -> Column:
@@ -129,47 +144,104 @@ def usable(seconds: Column) -> Column:
     return F.when(~F.isnan(seconds) & (F.abs(seconds) < F.lit(float("inf"))), seconds)
 
 
-def listed_words(segments: DataFrame) -> DataFrame:
-    """The words of stored segment lists with the ids of the clause and sentence they belong to.
+def listed_rows(segments: DataFrame) -> DataFrame:
+    """The words and clause rows of stored segment lists, with the ids of what they belong to.
 
-    ``utt_id, source, wi, pos, clause_id, sent_id, text, start, end``; NaN and infinite times become null.
+    ``utt_id, source, type, wi, pos, clause_id, sent_id, text, start, end, prev``; NaN and infinite times become
+    null.  ``prev`` is ``(end, clause_id, sent_id)`` of the word before, null at the first.  A null ``utt_id`` is
+    an utterance of its own.
     """
-    order = Window.partitionBy("utt_id").orderBy("pos", "seg_id", "loaded_at").rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda kind: F.coalesce(F.sum((F.col("type") == kind).cast("int")).over(order), F.lit(0)).cast("int")
-    rows = _delivered(segments.select("seg_id", "utt_id", "source", "pos", "start", "end", "text", "type", "loaded_at"))
-    counted = rows.select("*", before("word").alias("wi"), before("clause").alias("clause_id"), before("sentence").alias("sent_id"))
-    return counted.where(F.col("type") == "word").select(
-        "utt_id", "source", "wi", "pos", "clause_id", "sent_id", "text", usable(F.col("start")).alias("start"), usable(F.col("end")).alias("end")
+    columns = ("seg_id", "utt_id", "pos", "type", "end", "loaded_at")
+    place = Window.partitionBy("utt_id", "_block").orderBy("pos", "seg_id", "loaded_at").rowsBetween(Window.unboundedPreceding, -1)
+    is_word = F.col("type") == "word"
+    last = F.struct(F.col("end"), F.col("clause_id"), F.col("sent_id"))
+
+    def counted(columns: tuple[str, ...]) -> DataFrame:
+        before = lambda kind: F.coalesce(F.sum((F.col("type") == kind).cast("int")).over(place), F.lit(0)).cast("int")
+        times = {c: usable(F.col(c)) for c in ("start", "end") if c in columns}
+        rows = _delivered(in_list_blocks(segments.select(*columns).withColumns(times)))
+        return rows.select("*", before("word").alias("wi"), before("clause").alias("clause_id"), before("sentence").alias("sent_id"))
+
+    of = lambda kind: F.sum((F.col("type") == kind).cast("int"))
+    blocks = counted(columns).groupBy("utt_id", "_block").agg(
+        of("word").alias("w"), of("clause").alias("c"), of("sentence").alias("s"),
+        F.max(F.when(is_word, F.struct("pos", "seg_id", last.alias("l"))))["l"].alias("l"),
+    )
+    earlier = Window.partitionBy("utt_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0)).cast("int").alias(f"_{c}")
+    moved = lambda x: F.when(x.isNotNull(), F.struct(x["end"].alias("end"), (x["clause_id"] + F.col("_c")).alias("clause_id"), (x["sent_id"] + F.col("_s")).alias("sent_id")))
+    blocks = blocks.select("utt_id", "_block", offset("w"), offset("c"), offset("s"), "l").withColumn("l", moved(F.col("l")))
+    blocks = blocks.select(
+        F.col("utt_id").alias("_u"), F.col("_block").alias("_b"), "_w", "_c", "_s", F.last("l", ignorenulls=True).over(earlier).alias("_before")
     )
+    rows = counted((*columns, "source", "start", "text"))
+    rows = rows.withColumn("_prev", F.last(F.when(is_word, last), ignorenulls=True).over(place)).where(F.col("type").isin("word", "clause"))
+    joined = rows.join(blocks, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")))
+    return joined.select(
+        "utt_id", "source", "type", (F.col("wi") + F.col("_w")).alias("wi"), "pos", (F.col("clause_id") + F.col("_c")).alias("clause_id"),
+        (F.col("sent_id") + F.col("_s")).alias("sent_id"), "text", "start", "end", F.coalesce(moved(F.col("_prev")), F.col("_before")).alias("prev"),
+    )
 
 
-def clauses(words: DataFrame) -> DataFrame:
-    """``utt_id, clause_id, n_words, first_pos, start, end, paused``: ``paused`` sums the gaps over 0.2 s inside the clause."""
-    order = Window.partitionBy("utt_id").orderBy("pos")  # a prefix of the order that listing the words has made
-    gap = F.when(F.lag("clause_id").over(order) == F.col("clause_id"), F.col("start") - F.lag("end").over(order))
-    return (
-        words.withColumn("_g", gap)
+def only_words(rows: DataFrame) -> DataFrame:
+    """The words of listed rows; a table of words is all of them."""
+    return rows.where(F.col("type") == "word").drop("type") if "type" in rows.columns else rows
+
+
+def listed_words(segments: DataFrame) -> DataFrame:
+    """The words of stored segment lists, see :func:`listed_rows`."""
+    return only_words(listed_rows(segments))
+
+
+def with_previous(words: DataFrame) -> DataFrame:
+    """Add ``prev`` to words that do not have it."""
+    if "prev" in words.columns:
+        return words
+    order = Window.partitionBy("utt_id").orderBy("pos")
+    return words.withColumn("prev", F.lag(F.struct("end", "clause_id", "sent_id")).over(order))
+
+
+def clauses(rows: DataFrame) -> DataFrame:
+    """``utt_id, clause_id, n_words, first_pos, text, start, end, first_start, last_end, paused, closed``.
+
+    Start and end are those of the clause row; ``first_start`` and ``last_end`` those of the first and the last
+    word; ``paused`` sums the gaps over 0.2 s inside the clause.  Words after the last clause row are of a clause
+    that is not ``closed``.  Where there are only words, each clause is closed and has their first start and last end.
+    """
+    stored = "type" in rows.columns
+    word = F.col("type") == "word" if stored else F.lit(True)
+    gap = F.when(F.col("prev.clause_id") == F.col("clause_id"), F.col("start") - F.col("prev.end"))
+    own = F.max(F.when(~word, F.struct("start", "end", "text"))).alias("_own") if stored else F.lit(None).alias("_own")
+    grouped = (
+        with_previous(rows)
+        .withColumn("_g", F.when(word, gap))
         .groupBy("utt_id", "clause_id")
         .agg(
-            F.count("*").alias("n_words"), F.min("pos").alias("first_pos"), F.min("start").alias("start"), F.max("end").alias("end"),
-            F.coalesce(F.sum(F.when(F.col("_g") > 0.2, F.col("_g"))), F.lit(0.0)).alias("paused"),
+            F.sum(word.cast("bigint")).alias("n_words"), F.min(F.when(word, F.col("pos"))).alias("first_pos"),
+            F.min_by(F.col("start"), F.when(word, F.col("pos"))).alias("first_start"), F.max_by(F.col("end"), F.when(word, F.col("pos"))).alias("last_end"),
+            F.coalesce(F.sum(F.when(F.col("_g") > 0.2, F.col("_g"))), F.lit(0.0)).alias("paused"), own,
         )
+        .where(F.col("n_words") > 0)
+    )
+    of = lambda c, other: F.col(f"_own.{c}") if stored else other
+    return grouped.select(
+        "utt_id", "clause_id", "n_words", "first_pos", of("text", F.lit(None).cast("string")).alias("text"), of("start", F.col("first_start")).alias("start"),
+        of("end", F.col("last_end")).alias("end"), "first_start", "last_end", "paused", (F.col("_own").isNotNull() if stored else F.lit(True)).alias("closed"),
     )
 
 
 def effective_duration(clamp: bool = False) -> Column:
-    """Clause duration less its pauses: as extractors take it, or not below 0 as calibration does."""
-    left = F.col("end") - F.col("start") - F.col("paused")
-    return F.greatest(left, F.lit(0.0)) if clamp else left
+    """Duration less pauses: of the clause, as extractors take it, or from its first word to its last and not below 0, as calibration does."""
+    if clamp:
+        return F.greatest(F.col("last_end") - F.col("first_start") - F.col("paused"), F.lit(0.0))
+    return F.col("end") - F.col("start") - F.col("paused")
 
 
 def pauses(words: DataFrame) -> DataFrame:
     """``utt_id, wi, pos, gap, inter_clause`` for each word but the first: time since the previous word's end."""
-    order = Window.partitionBy("utt_id").orderBy("pos")  # a prefix of the order that listing the words has made
-    return words.select(
-        "utt_id", "wi", "pos", (F.col("start") - F.lag("end").over(order)).alias("gap"),
-        (F.lag("clause_id").over(order) != F.col("clause_id")).alias("inter_clause"),
-    ).where(F.col("inter_clause").isNotNull())
+    return with_previous(words).where(F.col("prev").isNotNull()).select(
+        "utt_id", "wi", "pos", (F.col("start") - F.col("prev.end")).alias("gap"), (F.col("prev.clause_id") != F.col("clause_id")).alias("inter_clause"),
+    )
 
 
 def trimmed_words(words: DataFrame, frames: DataFrame) -> DataFrame:
@@ -191,5 +263,5 @@ def trimmed_words(words: DataFrame, frames: DataFrame) -> DataFrame:
         ).alias("m"),
     )
     new = moved.select("utt_id", F.col("m.wi").alias("wi"), F.col("m.t.start").alias("_s"), F.col("m.t.end").alias("_e"))
-    rest = [c for c in words.columns if c not in ("start", "end")]
+    rest = [c for c in words.columns if c not in ("start", "end", "prev")]  # the word before has moved as well
     return words.join(new, ["utt_id", "wi"], "left").select(*rest, F.coalesce("_s", "start").alias("start"), F.coalesce("_e", "end").alias("end"))

@@ -28,7 +28,7 @@ class Options:
 
 @dataclass(frozen=True)
 class Inputs:
-    """The tables of a run: words with times; language and style; statistics; and, if there are any, frames and emotion scores."""
+    """The tables of a run: words with times (or listed rows); language and style; statistics; and, if there are any, frames and emotion scores."""
 
     words: DataFrame
     about: DataFrame
@@ -39,7 +39,7 @@ class Inputs:
 
 Extractor = Callable[[Inputs, Options], DataFrame]
 
-#: Built-in extractors by type; those whose table is missing are left out of a run.
+#: Built-in extractors by type.
 BUILT_IN: dict[str, Extractor] = {
     "style": lambda x, o: controls.style_controls(x.words, x.about),
     "break": lambda x, o: controls.pause_controls(x.words, o.number_control, o.pause_levels),
@@ -65,17 +65,18 @@ class ControlBuilder:
         self.extractors[kind] = extractor
         return self
 
-    def _usable(self, kind: str, inputs: Inputs) -> bool:
-        if self.extractors[kind] is not BUILT_IN.get(kind):
-            return True
-        return not (kind in NEEDS_FRAMES and inputs.frames is None or kind in NEEDS_SCORES and inputs.scores is None)
+    def _missing(self, inputs: Inputs) -> list[str]:
+        built_in = [k for k, f in self.extractors.items() if f is BUILT_IN.get(k)]
+        return [k for k in built_in if k in NEEDS_FRAMES and inputs.frames is None or k in NEEDS_SCORES and inputs.scores is None]
 
     def controls(self, inputs: Inputs) -> DataFrame:
-        """All controls, limited per clause."""
+        """All controls, limited per clause.  A built-in extractor whose table is missing is an error; leave it out by ``kinds``."""
+        missing = self._missing(inputs)
+        if missing:
+            raise ValueError(f"no table for the extractors {', '.join(missing)}")
         registry = compose.Registry()
         for kind, extractor in self.extractors.items():
-            if self._usable(kind, inputs):
-                registry.add(kind, lambda extractor=extractor: extractor(inputs, self.options))
+            registry.add(kind, lambda extractor=extractor: extractor(inputs, self.options))
         return compose.limit_per_clause(registry.collect(), inputs.words, self.options.max_controls_per_clause)
 
     def build(self, inputs: Inputs) -> DataFrame:

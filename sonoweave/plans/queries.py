@@ -16,6 +16,7 @@ from sonoweave.functions import zscore as Z
 from sonoweave.functions.wer import word_error_rate
 from sonoweave.operators import align, calibrate, compose, controls, intervals, quality, segments, spikes
 from sonoweave.plans import flagship
+from sonoweave.plans.builder import ControlBuilder, Inputs, Options
 from sonoweave.session import table
 from sonoweave.sources import config, tree
 
@@ -175,13 +176,8 @@ def attached_times(spark, d):
 
 @query
 def aligned_words(spark, d):
-    """Alignment by a table-backed aligner of the utterances whose language is given by a code, as the SQL has it.
-
-    Those without language, with a full name, or with another spelling are left out; :func:`aligned_utterances` has all.
-    """
-    said = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("text").alias("text"), F.max(F.trim("lang")).alias("lang"))
-    known = said.where(T.language_name(F.col("lang")) != F.col("lang"))
-    words = align.align(known, align.TableProvider(_items(spark, d)))
+    """Alignment by a table-backed aligner of all utterances that have a text, however their language is spelled."""
+    words = align.align(_spelled(spark, d), align.TableProvider(_items(spark, d)))
     return words.select("utt_id", "wi", "pos", "clause_id", "sent_id", "text", r6("start").alias("start"), r6("end").alias("end"))
 
 
@@ -214,6 +210,11 @@ def unsupported_languages(spark, d):
     return rows.groupBy("lang").agg(F.count("*").alias("n"))
 
 
+def _rows(spark, d):
+    """Words with their clause rows."""
+    return segments.listed_rows(table(spark, d, "segments"))
+
+
 def _words(spark, d):
     return segments.listed_words(table(spark, d, "segments"))
 
@@ -225,7 +226,7 @@ def listed_words(spark, d):
 
 @query
 def clauses(spark, d):
-    rows = segments.clauses(_words(spark, d))
+    rows = segments.clauses(_rows(spark, d))
     return rows.select(
         "utt_id", "clause_id", "n_words", "first_pos", r6("start").alias("start"), r6("end").alias("end"),
         r6(segments.effective_duration()).alias("effective"), r6(segments.effective_duration(clamp=True)).alias("effective_clamped"),
@@ -241,15 +242,16 @@ def pauses(spark, d):
 # --- frames: embeddings stand in for frame arrays
 
 
-def _frames(spark, d) -> DataFrame:
-    """Stand-in frames, ten a second: energy and pitch made from an embedding by a fixed rule.
-
-    Every utterance has frames, but of the embeddings only 0..499 are used, as in the SQL.
-    """
-    number = F.regexp_extract("utt_id", r"(\d+)$", 1).cast("int") % 500
-    who = table(spark, d, "utterances").select("utt_id").distinct().withColumn("vec_id", number.cast("bigint"))
+def _vectors(spark, d) -> DataFrame:
+    """``utt_id, e``: an embedding for every utterance, by its number; all embeddings are used in turn."""
     vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    return who.join(vectors, "vec_id").select(
+    number = F.regexp_extract("utt_id", r"(\d+)$", 1).cast("bigint") % max(vectors.count(), 1)
+    return table(spark, d, "utterances").select("utt_id").distinct().withColumn("vec_id", number).join(vectors, "vec_id").select("utt_id", "e")
+
+
+def _frames(spark, d) -> DataFrame:
+    """Stand-in frames, ten a second: energy and pitch made from an embedding by a fixed rule."""
+    return _vectors(spark, d).select(
         "utt_id", F.lit(16000).alias("sr"), F.lit(1600).alias("hop"), F.transform("e", lambda x: F.abs(x) * 0.2).alias("energy"),
         F.lit(1600).alias("f0_hop"), F.transform("e", lambda x: F.when(x > -0.05, 200.0 + 100.0 * x).otherwise(0.0)).alias("f0"),
     )
@@ -257,7 +259,7 @@ def _frames(spark, d) -> DataFrame:
 
 @query
 def frame_means(spark, d):
-    rows = controls.clause_energies(_words(spark, d), _frames(spark, d))
+    rows = controls.clause_energies(_rows(spark, d), _frames(spark, d))
     return rows.select("utt_id", "clause_id", r6("v").alias("energy"))
 
 
@@ -269,7 +271,7 @@ def speaker_baselines(spark, d):
 
 @query
 def clause_pitches(spark, d):
-    rows = controls.clause_pitches(_words(spark, d), _frames(spark, d))
+    rows = controls.clause_pitches(_rows(spark, d), _frames(spark, d))
     return rows.select("utt_id", "clause_id", r6("f0").alias("f0"), r6("z").alias("z"))
 
 
@@ -291,12 +293,12 @@ def _stats(spark, d):
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    return df.select("utt_id", "ext_order", "type", "value", r6("value_num").alias("value_num"), "pos")
+    return df.select("utt_id", "ext_order", "type", "value", r6("value_num").alias("value_num"), "pos", "info")
 
 
 @query
 def speed_scores(spark, d):
-    rows = controls._with_stats(controls.clause_speeds(_words(spark, d)), _about(spark, d), _stats(spark, d), "speed")
+    rows = controls._with_stats(controls.clause_speeds(_rows(spark, d)), _about(spark, d), _stats(spark, d), "speed")
     z = Z.population_z(F.col("speed"), F.col("mean"), F.col("std"))
     rows = rows.withColumn("z", r6(z))
     return rows.select(
@@ -305,82 +307,67 @@ def speed_scores(spark, d):
     )
 
 
-@query
-def style_controls(spark, d):
-    return _plain(controls.style_controls(_words(spark, d), _about(spark, d)))
-
-
-@query
-def pause_controls(spark, d):
-    return _plain(controls.pause_controls(_words(spark, d)))
-
+def _inputs(spark, d) -> Inputs:
+    return Inputs(_rows(spark, d), _about(spark, d), _stats(spark, d), _frames(spark, d), table(spark, d, "emotion_scores"))
 
-@query
-def pause_controls_number(spark, d):
-    return _plain(controls.pause_controls(_words(spark, d), as_number=True))
 
+def _extracted(kinds: tuple[str, ...], as_number: bool) -> Query:
+    def run(spark, d):
+        return _plain(ControlBuilder(Options(as_number), kinds).controls(_inputs(spark, d)))
 
-@query
-def speed_controls(spark, d):
-    return _plain(controls.speed_controls(_words(spark, d), _about(spark, d), _stats(spark, d)))
+    return run
 
 
-@query
-def volume_controls(spark, d):
-    return _plain(controls.volume_controls(_words(spark, d), _frames(spark, d), _about(spark, d), _stats(spark, d)))
+# each extractor alone, with labels and, where it has them, with numbers
+SINGLE = {"style": "style", "break": "pause", "speed": "speed", "volume": "volume", "pitch": "pitch", "emphasis": "emphasis", "emotion": "emotion"}
+for _kind, _name in SINGLE.items():
+    QUERIES[f"{_name}_controls"] = _extracted((_kind,), False)
+    if _kind not in ("style", "emotion"):
+        QUERIES[f"{_name}_controls_number"] = _extracted((_kind,), True)
 
 
 @query
-def pitch_controls(spark, d):
-    return _plain(controls.pitch_controls(_words(spark, d), _frames(spark, d)))
+def all_controls(spark, d):
+    """All seven extractors."""
+    return _plain(ControlBuilder().controls(_inputs(spark, d)))
 
 
 @query
-def emphasis_controls(spark, d):
-    return _plain(controls.emphasis_controls(_words(spark, d), _frames(spark, d), _about(spark, d), _stats(spark, d)))
+def all_controls_number(spark, d):
+    return _plain(ControlBuilder(Options(number_control=True)).controls(_inputs(spark, d)))
 
 
 @query
-def emotion_controls(spark, d):
-    return _plain(controls.emotion_controls(_words(spark, d), table(spark, d, "emotion_scores")))
-
-
-def _all_controls(spark, d, as_number: bool = False) -> DataFrame:
-    words, about, stats = _words(spark, d), _about(spark, d), _stats(spark, d)
-    registry = compose.Registry()
-    registry.add("style", lambda: controls.style_controls(words, about))
-    registry.add("break", lambda: controls.pause_controls(words, as_number))
-    registry.add("speed", lambda: controls.speed_controls(words, about, stats, as_number))
-    registry.add("emotion", lambda: controls.emotion_controls(words, table(spark, d, "emotion_scores")))
-    return registry.collect()
+def limited_controls(spark, d):
+    return _plain(ControlBuilder(Options(max_controls_per_clause=1)).controls(_inputs(spark, d)))
 
 
 @query
-def all_controls(spark, d):
-    return _plain(_all_controls(spark, d))
+def formatted_controls(spark, d):
+    return compose.formatted(ControlBuilder().controls(_inputs(spark, d)))
 
 
-@query
-def limited_controls(spark, d):
-    return _plain(compose.limit_per_clause(_all_controls(spark, d), _words(spark, d), 1))
+def _control_text(spark, d, as_number: bool) -> DataFrame:
+    x = _inputs(spark, d)
+    return flagship.control_text(x.words, x.about, x.stats, x.scores, 2, x.frames, as_number)
 
 
 @query
-def formatted_controls(spark, d):
-    return compose.formatted(_all_controls(spark, d))
+def control_text(spark, d):
+    """Flagship: every utterance's text with the tags of all seven extractors, at most two per clause."""
+    return _control_text(spark, d, False)
 
 
 @query
-def control_text(spark, d):
-    """Flagship: every utterance's text with its style, pause, speed and emotion tags, at most two per clause."""
-    return flagship.control_text(_words(spark, d), _about(spark, d), _stats(spark, d), table(spark, d, "emotion_scores"), 2)
+def control_text_number(spark, d):
+    """The same with numbers instead of labels."""
+    return _control_text(spark, d, True)
 
 
 @query
 def control_text_by_steps(spark, d):
     """The same by extracting, uniting, limiting and rendering one after another."""
-    words = _words(spark, d)
-    return compose.control_text(words, compose.limit_per_clause(_all_controls(spark, d), words, 2))
+    return ControlBuilder(Options(max_controls_per_clause=2)).build(_inputs(spark, d))
 
 
 def _given(spark, d) -> DataFrame:
@@ -395,15 +382,12 @@ def given_control_text(spark, d):
 
 @query
 def control_spans(spark, d):
-    rows = compose.control_spans(_given(spark, d), table(spark, d, "segments"))
-    return rows.select("utt_id", "type", "value", "pos", F.col("time"), F.col("time_end"))
+    return compose.control_spans(_given(spark, d), table(spark, d, "segments"))
 
 
 @query
 def segment_table(spark, d):
-    tags = compose.formatted(_given(spark, d))
-    rows = compose.segment_table(table(spark, d, "segments"), tags)
-    return rows.select("utt_id", "pos", "type", "text", "tags")
+    return compose.segment_table(table(spark, d, "segments"), compose.formatted(_given(spark, d)))
 
 
 @query
@@ -415,11 +399,18 @@ def highlight_spans(spark, d):
 
 
 def _timed(spark, d) -> DataFrame:
-    """The words, with the times that no recording can hold left out: a few of them would swamp every mean."""
+    """Listed rows, with the times that no recording can hold left out: a few of them would swamp every mean."""
     lasts = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("duration_s").alias("duration_s"))
     wrong = spikes.impossible(F.col("start"), F.col("end"), F.col("duration_s"))
-    rows = _words(spark, d).join(lasts, "utt_id", "left").withColumn("_w", wrong)
-    return rows.withColumns({c: F.when(~F.col("_w"), F.col(c)) for c in ("start", "end")}).drop("_w", "duration_s")
+    rows = table(spark, d, "segments").join(lasts, "utt_id", "left").withColumn("_w", wrong)
+    return segments.listed_rows(rows.withColumns({c: F.when(~F.col("_w"), F.col(c)) for c in ("start", "end")}).drop("_w", "duration_s"))
+
+
+def _loudness(spark, d, rows: DataFrame) -> DataFrame:
+    """Stand-in loudness of each clause that lasts, from the utterance's embedding by a fixed rule."""
+    spans = calibrate.clause_spans(rows).select("utt_id", "clause_id")
+    at = F.get("e", F.col("clause_id") % F.greatest(F.size("e"), F.lit(1)))
+    return spans.join(_vectors(spark, d), "utt_id").select("utt_id", "clause_id", (F.lit(-23.0) + at * 10).alias("lufs"))
 
 
 def _rounded(stats: DataFrame) -> DataFrame:
@@ -434,7 +425,9 @@ def calibration(spark, d):
 
 @query
 def calibration_with_frames(spark, d):
-    return _rounded(calibrate.calibrate(_timed(spark, d), table(spark, d, "utterances"), _frames(spark, d)))
+    """All six features: times, frames and loudness."""
+    rows = _timed(spark, d)
+    return _rounded(calibrate.calibrate(rows, table(spark, d, "utterances"), _frames(spark, d), _loudness(spark, d, rows)))
 
 
 @query

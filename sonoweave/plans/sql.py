@@ -64,11 +64,16 @@ lw AS (
   FROM lw WHERE type = 'word'
 ), gapped AS (
   SELECT *, s - lag(e) OVER o AS gap, lag(clause_id) OVER o AS pc FROM words WINDOW o AS (PARTITION BY utt_id ORDER BY wi)
-), cl AS (
-  SELECT utt_id, clause_id, count(*) AS n_words, min(pos) AS first_pos, min(s) AS s, max(e) AS e,
+), clr AS (
+  SELECT utt_id, clause_id, any_value(text) AS ctext, any_value(CASE WHEN isfinite(start) THEN start END) AS s, any_value(CASE WHEN isfinite("end") THEN "end" END) AS e
+  FROM lw WHERE type = 'clause' GROUP BY utt_id, clause_id
+), grp0 AS (
+  SELECT utt_id, clause_id, count(*) AS n_words, min(pos) AS first_pos, list(s ORDER BY pos)[1] AS fs, list(e ORDER BY pos)[-1] AS le,
     coalesce(sum(gap) FILTER (WHERE pc = clause_id AND gap > 0.2), 0.0) AS paused
   FROM gapped GROUP BY utt_id, clause_id
-), about AS (
+), call AS (
+  SELECT g.*, ctext, c.s, c.e, c.clause_id IS NOT NULL AS closed FROM grp0 g LEFT JOIN clr c ON c.utt_id = g.utt_id AND c.clause_id = g.clause_id
+), cl AS (SELECT * FROM call WHERE closed), about AS (
   SELECT utt_id, min(lower(trim(lang, ' '))) AS lang, coalesce(min(lower(trim(style, ' '))), 'read') AS style FROM utterances GROUP BY utt_id
 ), ps AS (SELECT lang_style, feature, max(mean) AS mean, max(std) AS std FROM population_stats GROUP BY lang_style, feature),
 grouped AS (SELECT utt_id, CASE WHEN lang IN ('zh', 'chinese') THEN 'zh_' ELSE 'en_' END || style AS lang_style, lang, style FROM about)
@@ -95,6 +100,12 @@ def _round(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
+def _fixed(x: str, digits: int) -> str:
+    """With so many decimals, rounded half away from zero on the shortest decimal form."""
+    rounded = f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DECIMAL(38, {digits}))"
+    return f"CASE WHEN {x} < 0 AND {rounded} = 0 THEN '-' ELSE '' END || CAST({rounded} AS VARCHAR)"
+
+
 _CLAMPED = _round(f"greatest(-{Z.CLAMP}, least({Z.CLAMP}, z))", 2)
 
 _SPEED = """
@@ -114,29 +125,46 @@ emo AS (
     FROM emotion_scores) WHERE value <> ''
 )"""
 
-_COLS = "utt_id, CAST({o} AS INT) AS ext_order, '{t}' AS type, {v} AS value, CAST({n} AS DOUBLE) AS value_num, CAST({p} AS INT) AS pos"
+_COLS = "utt_id, CAST({o} AS INT) AS ext_order, '{t}' AS type, {v} AS value, CAST({n} AS DOUBLE) AS value_num, CAST({p} AS INT) AS pos, {i} AS info"
 
-_STYLE = "SELECT " + _COLS.format(o=0, t="style", v="style", n="NULL", p="min(pos)") + " FROM words LEFT JOIN about USING (utt_id) GROUP BY utt_id, style"
+_STYLE = (
+    "SELECT " + _COLS.format(o=0, t="style", v="style", n="NULL", p="min(pos)", i="'style=' || style")
+    + " FROM (SELECT utt_id, pos, coalesce(style, 'read') AS style FROM words LEFT JOIN about USING (utt_id)) GROUP BY utt_id, style"
+)
 
 
 def _breaks(value: str) -> str:
     return (
-        "SELECT " + _COLS.format(o=1, t="break", v=value, n=_round("gap", 1), p="pos")
+        "SELECT " + _COLS.format(o=1, t="break", v=value, n=_round("gap", 1), p="pos", i=f"'duration=' || ({_fixed('gap', 2)}) || CASE WHEN pc <> clause_id THEN 's, inter_clause' ELSE 's, intra_clause' END")
         + f" FROM gapped WHERE pc IS NOT NULL AND {_pause_level('gap')} <> '{Z.PAUSE_LEVELS[0][0]}'"
     )
 
 
-def _scored(kind: str, order: int, labels, source: str) -> str:
-    return "SELECT " + _COLS.format(o=order, t=kind, v=_case_level("z", labels), n=_CLAMPED, p="first_pos") + f" FROM {source} WHERE abs(z) > {Z.THRESHOLD}"
+_NUMBER = f"CAST({_CLAMPED} AS VARCHAR)"
+_INFO = {
+    "speed": f"'speed=' || ({_fixed('speed', 2)}) || 'word/s, z=' || ({_fixed('z', 2)})",
+    "volume": f"'[' || coalesce(ctext, '') || '] energy=' || ({_fixed('v', 4)}) || ', z=' || ({_fixed('z', 2)})",
+    "pitch": f"'f0=' || ({_fixed('f0', 1)}) || 'Hz, speaker=' || ({_fixed('bm', 1)}) || '±' || ({_fixed('bs', 1)}) || 'Hz, z=' || ({_fixed('z', 2)})",
+    "emphasis": f"'[' || coalesce(text, '') || '] composite_z=' || ({_fixed('z', 2)}) || ' (' || concat_ws(', ', "
+    + ", ".join(f"'{k}=' || {_fixed(f'z{n}', 2)}" for n, k in ((1, "e"), (2, "d"), (3, "p"))) + ") || ')'",
+}
+
+
+def _scored(kind: str, order: int, labels, source: str, as_number: bool = False) -> str:
+    value = _NUMBER if as_number else _case_level("z", labels)
+    return "SELECT " + _COLS.format(o=order, t=kind, v=value, n=_CLAMPED, p="first_pos", i=_INFO[kind]) + f" FROM {source} WHERE abs(z) > {Z.THRESHOLD}"
+
+
+def _emphasised(source: str, as_number: bool = False) -> str:
+    value = _NUMBER if as_number else "'emphasis'"
+    return "SELECT " + _COLS.format(o=5, t="emphasis", v=value, n=_CLAMPED, p="first_pos", i=_INFO["emphasis"]) + f" FROM {source} WHERE z > 1.0"
 
 
 _EMOTION = (
-    "SELECT " + _COLS.format(o=6, t="emotion", v="value", n="NULL", p="fp")
+    "SELECT " + _COLS.format(o=6, t="emotion", v="value", n="NULL", p="fp", i="'emo=' || value")
     + " FROM (SELECT utt_id, sent_id, min(pos) AS fp FROM words GROUP BY utt_id, sent_id) JOIN emo USING (utt_id, sent_id)"
 )
 
-_ALL = f"WITH {_ONCE}, {_SPEED}, {_TOP}, allc AS ({_STYLE} UNION ALL {_breaks(_pause_level('gap'))} UNION ALL {_scored('speed', 2, Z.SPEED_LEVELS, 'zs')} UNION ALL {_EMOTION})"
-
 _PRIO = f"pr(type, prio) AS (VALUES {_values(PRIORITY)})"
 
 
@@ -165,8 +193,8 @@ _GIVEN = """given AS (
 
 _FRAMES = """
 fr AS (
-  SELECT utt_id, list_transform(e, lambda x: abs(x) * 0.2) AS energy, list_transform(e, lambda x: CASE WHEN x > -0.05 THEN 200.0 + 100.0 * x ELSE 0.0 END) AS f0
-  FROM (SELECT DISTINCT utt_id, CAST(regexp_extract(utt_id, '(\\d+)$', 1) AS INT) % 500 AS vec_id FROM utterances)
+  SELECT utt_id, e, list_transform(e, lambda x: abs(x) * 0.2) AS energy, list_transform(e, lambda x: CASE WHEN x > -0.05 THEN 200.0 + 100.0 * x ELSE 0.0 END) AS f0
+  FROM (SELECT DISTINCT utt_id, CAST(regexp_extract(utt_id, '(\\d+)$', 1) AS BIGINT) % (SELECT greatest(count(*), 1) FROM embeddings) AS vec_id FROM utterances)
   JOIN (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings) USING (vec_id)
 ), base AS (
   SELECT utt_id, list_avg(v) AS bm, greatest(list_stddev_samp(v), 10.0) AS bs
@@ -193,26 +221,45 @@ def _z(value: str, feature: str, alias: str) -> str:
 
 
 _VOLUME = f"""{_framed("cl")}, zs AS (
-  SELECT sl.utt_id, clause_id, first_pos, coalesce(list_avg(en), 0.0) AS v, {_z("coalesce(list_avg(en), 0.0)", "energy", "ps")} AS z
+  SELECT sl.utt_id, clause_id, first_pos, ctext, coalesce(list_avg(en), 0.0) AS v, {_z("coalesce(list_avg(en), 0.0)", "energy", "ps")} AS z
   FROM sl LEFT JOIN grouped USING (utt_id) LEFT JOIN ps ON ps.lang_style = grouped.lang_style AND feature = 'energy'
 )"""
 _PITCH = f"""{_framed("cl")}, zs AS (
-  SELECT utt_id, clause_id, first_pos, list_avg(vo) AS f0, CASE WHEN len(vo) >= 5 THEN (list_avg(vo) - bm) / bs END AS z FROM sl
+  SELECT utt_id, clause_id, first_pos, bm, bs, list_avg(vo) AS f0, CASE WHEN len(vo) >= 5 THEN (list_avg(vo) - bm) / bs END AS z FROM sl
 )"""
 _EMPHASIS = f"""{_framed("words")}, parts AS (
-  SELECT sl.utt_id, pos, {_z("coalesce(list_avg(en), 0.0)", "word_energy", "pe")} AS z1, {_z("(e - s)", "word_duration", "pd")} AS z2,
+  SELECT sl.utt_id, pos, text, {_z("coalesce(list_avg(en), 0.0)", "word_energy", "pe")} AS z1, {_z("(e - s)", "word_duration", "pd")} AS z2,
     CASE WHEN len(vo) >= 3 THEN (list_avg(vo) - bm) / bs END AS z3
   FROM sl LEFT JOIN grouped g USING (utt_id) LEFT JOIN ps pe ON pe.lang_style = g.lang_style AND pe.feature = 'word_energy'
   LEFT JOIN ps pd ON pd.lang_style = g.lang_style AND pd.feature = 'word_duration'
 ), zs AS (
-  SELECT utt_id, pos AS first_pos, (coalesce(0.4 * z1, 0) + coalesce(0.3 * z2, 0) + coalesce(0.3 * z3, 0)) /
+  SELECT utt_id, pos AS first_pos, text, z1, z2, z3, (coalesce(0.4 * z1, 0) + coalesce(0.3 * z2, 0) + coalesce(0.3 * z3, 0)) /
     nullif(CASE WHEN z1 IS NULL THEN 0.0 ELSE 0.4 END + CASE WHEN z2 IS NULL THEN 0.0 ELSE 0.3 END + CASE WHEN z3 IS NULL THEN 0.0 ELSE 0.3 END, 0) AS z
   FROM parts
 )"""
 
+def _all(as_number: bool = False) -> str:
+    """CTEs ending in ``allc``: the controls of all seven extractors."""
+    parts = [_STYLE, _breaks(f"CAST({_round('gap', 1)} AS VARCHAR)" if as_number else _pause_level("gap")), _EMOTION]
+    parts += [
+        _scored("speed", 2, Z.SPEED_LEVELS, "zs", as_number), _scored("volume", 3, Z.VOLUME_LEVELS, "zsv", as_number),
+        _scored("pitch", 4, Z.LEVELS, "zsp", as_number), _emphasised("zse", as_number),
+    ]
+    renamed = lambda x, k: x.replace("zs AS", f"zs{k} AS").replace("sl AS", f"sl{k} AS").replace("FROM sl", f"FROM sl{k} sl").replace("parts", f"parts{k}")
+    return (
+        f"WITH {_ONCE}, {_SPEED}, {_TOP}, {_FRAMES}, {renamed(_VOLUME, 'v')}, {renamed(_PITCH, 'p')}, {renamed(_EMPHASIS, 'e')}, allc AS ({' UNION ALL '.join(parts)})"
+    )
+
+
+_ALL = _all()
+
+#: Clauses that last, as calibration takes them: times of the clause row, else of the first and the last word.
+_LASTING = """(
+  SELECT * FROM (SELECT * REPLACE (CASE WHEN closed THEN s ELSE fs END AS s, CASE WHEN closed THEN e ELSE le END AS e) FROM call) WHERE e - s > 0
+)"""
 _FEATURES = """feats AS (
-  SELECT utt_id, 'duration' AS feature, e - s AS value FROM cl WHERE e - s > 0
-  UNION ALL SELECT utt_id, 'speed', n_words / (e - s - paused) FROM cl WHERE e - s > 0 AND e - s - paused > 0
+  SELECT utt_id, 'duration' AS feature, e - s AS value FROM """ + _LASTING + """
+  UNION ALL SELECT utt_id, 'speed', n_words / (le - fs - paused) FROM """ + _LASTING + """ WHERE le - fs - paused > 0
   UNION ALL SELECT utt_id, 'word_duration', e - s FROM words WHERE e - s > 0
   {more}
 ), st AS (
@@ -224,19 +271,21 @@ _FEATURES = """feats AS (
 )"""
 #: The words with times in the recording only.
 _TIMED = _ONCE.replace(
-    """  SELECT utt_id, source, wi, pos, clause_id, sent_id, text, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e
-  FROM lw WHERE type = 'word'""",
-    """  SELECT utt_id, source, wi, pos, clause_id, sent_id, text, CASE WHEN ok THEN start END AS s, CASE WHEN ok THEN "end" END AS e
-  FROM (
-    SELECT lw.*, isfinite(start) AND isfinite("end") AND start >= 0 AND "end" > start AND (d IS NULL OR "end" <= d) AS ok
-    FROM lw LEFT JOIN (SELECT utt_id, max(duration_s) AS d FROM utterances GROUP BY utt_id) USING (utt_id) WHERE type = 'word'
-  )""",
+    "seg AS (SELECT DISTINCT ON (seg_id) * FROM segments ORDER BY seg_id, loaded_at)",
+    """seg AS (
+  SELECT * REPLACE (CASE WHEN ok THEN start END AS start, CASE WHEN ok THEN "end" END AS "end") FROM (
+    SELECT g.*, isfinite(start) AND isfinite("end") AND start >= 0 AND "end" > start AND (d IS NULL OR "end" <= d) AS ok
+    FROM (SELECT DISTINCT ON (seg_id) * FROM segments ORDER BY seg_id, loaded_at) g
+    LEFT JOIN (SELECT utt_id, max(duration_s) AS d FROM utterances GROUP BY utt_id) USING (utt_id)
+  )
+)""",
 )
 assert _TIMED != _ONCE
 _CALIBRATION = f"WITH {_TIMED}, " + _FEATURES.format(more="", names=repr(list(FEATURES)))
 _FRAME_FEATURES = """
   UNION ALL SELECT utt_id, 'energy', list_avg(en) FROM sl WHERE len(en) > 0
-  UNION ALL SELECT utt_id, 'word_energy', list_avg(en) FROM slw WHERE len(en) > 0"""
+  UNION ALL SELECT utt_id, 'word_energy', list_avg(en) FROM slw WHERE len(en) > 0
+  UNION ALL SELECT utt_id, 'loudness_lufs', -23.0 + e[clause_id % len(e) + 1] * 10 FROM (SELECT utt_id, clause_id FROM """ + _LASTING + """) JOIN fr USING (utt_id)"""
 _ROUNDED = "SELECT lang_style, feature, n, round(mean, 9) AS mean, round(std, 9) AS std FROM "
 
 _INTERVALS = """
@@ -391,7 +440,7 @@ UNION ALL SELECT doc_id, max(pos) + 2, 'sentence', any_value(stx.text), min(star
     "attached_times": f"WITH {_ONCE}," + _ATTACH.replace("{where}", "").replace("{{", "{").replace("}}", "}") + " SELECT * FROM att",
     "listed_words": f'WITH {_ONCE} SELECT utt_id, source, wi, pos, clause_id, sent_id, text, round(s, 6) AS start, round(e, 6) AS "end" FROM words',
     "clauses": f"""WITH {_ONCE} SELECT utt_id, clause_id, n_words, first_pos, round(s, 6) AS start, round(e, 6) AS "end", round(e - s - paused, 6) AS effective,
-  round(greatest(e - s - paused, 0.0), 6) AS effective_clamped FROM cl""",
+  round(greatest(le - fs - paused, 0.0), 6) AS effective_clamped FROM call""",
     "pauses": f"WITH {_ONCE} SELECT utt_id, wi, pos, round(gap, 6) AS gap, pc <> clause_id AS inter_clause, {_pause_level('round(gap, 6)')} AS level FROM gapped WHERE pc IS NOT NULL",
     "frame_means": f"WITH {_ONCE}, {_FRAMES}, {_framed('cl')} SELECT utt_id, clause_id, round(coalesce(list_avg(en), 0.0), 6) AS energy FROM sl",
     "speaker_baselines": f"WITH {_FRAMES} SELECT utt_id, round(bm, 6) AS f0_mean, round(bs, 6) AS f0_std FROM base",
@@ -405,36 +454,44 @@ SELECT utt_id, clause_id, round(speed, 6) AS speed, z, coalesce(abs(z) > {Z.THRE
     "speed_controls": f"WITH {_ONCE}, {_SPEED} {_scored('speed', 2, Z.SPEED_LEVELS, 'zs')}",
     "volume_controls": f"WITH {_ONCE}, {_FRAMES}, {_VOLUME} {_scored('volume', 3, Z.VOLUME_LEVELS, 'zs')}",
     "pitch_controls": f"WITH {_ONCE}, {_FRAMES}, {_PITCH} {_scored('pitch', 4, Z.LEVELS, 'zs')}",
-    "emphasis_controls": f"WITH {_ONCE}, {_FRAMES}, {_EMPHASIS} SELECT " + _COLS.format(o=5, t="emphasis", v="'emphasis'", n=_CLAMPED, p="first_pos") + " FROM zs WHERE z > 1.0",
+    "emphasis_controls": f"WITH {_ONCE}, {_FRAMES}, {_EMPHASIS} {_emphasised('zs')}",
+    "speed_controls_number": f"WITH {_ONCE}, {_SPEED} {_scored('speed', 2, Z.SPEED_LEVELS, 'zs', True)}",
+    "volume_controls_number": f"WITH {_ONCE}, {_FRAMES}, {_VOLUME} {_scored('volume', 3, Z.VOLUME_LEVELS, 'zs', True)}",
+    "pitch_controls_number": f"WITH {_ONCE}, {_FRAMES}, {_PITCH} {_scored('pitch', 4, Z.LEVELS, 'zs', True)}",
+    "emphasis_controls_number": f"WITH {_ONCE}, {_FRAMES}, {_EMPHASIS} {_emphasised('zs', True)}",
     "emotion_controls": f"WITH {_ONCE}, {_TOP} {_EMOTION}",
     "all_controls": _ALL + " SELECT * FROM allc",
+    "all_controls_number": _all(True) + " SELECT * FROM allc",
     "limited_controls": f"{_ALL}, {_limit(1)} SELECT * FROM lim",
     "formatted_controls": f"{_ALL}, {_PRIO}, {_format('allc')} SELECT * FROM fmt",
     "control_text": f"{_ALL}, {_limit(2)}, {_format('lim')} {_TEXT}",
+    "control_text_number": f"{_all(True)}, {_limit(2)}, {_format('lim')} {_TEXT}",
     "given_control_text": f"WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')} {_TEXT}",
     "control_spans": f"""WITH {_ONCE}, {_GIVEN}, cx AS (
   SELECT utt_id, pos, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e, type FROM seg
 ), ctx AS (
-  SELECT g.type, g.value, g.utt_id, g.pos, x.s, x.e,
+  SELECT g.type, g.value, g.utt_id, g.pos, g.info, x.s, x.e,
     (SELECT arg_max(w.e, w.pos) FILTER (WHERE true) FROM cx w WHERE w.utt_id = g.utt_id AND w.pos < g.pos AND w.type = 'word' AND w.pos = (SELECT max(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos < g.pos AND v.type = 'word')) AS b,
     (SELECT min(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos >= g.pos AND v.type = 'clause') AS cp,
     (SELECT min(pos) FROM cx v WHERE v.utt_id = g.utt_id AND v.pos >= g.pos AND v.type = 'sentence') AS sp
   FROM given g LEFT JOIN cx x ON x.utt_id = g.utt_id AND x.pos = g.pos
 )
-SELECT q.utt_id, q.type, q.value, q.pos,
+SELECT q.utt_id, q.type, q.value, q.pos, q.info,
   round(coalesce(CASE WHEN q.type = 'break' THEN coalesce(b, 0.0) WHEN q.type = 'emotion' THEN CASE WHEN sp IS NULL THEN q.s ELSE sr.s END
     WHEN q.type IN ('speed', 'volume', 'pitch') THEN CASE WHEN cp IS NULL THEN q.s ELSE cr.s END ELSE q.s END, 0.0), 4) AS time,
   round(coalesce(CASE WHEN q.type = 'break' THEN q.s WHEN q.type = 'emotion' THEN CASE WHEN sp IS NULL THEN q.s ELSE sr.e END
     WHEN q.type IN ('speed', 'volume', 'pitch') THEN CASE WHEN cp IS NULL THEN q.s ELSE cr.e END ELSE q.e END, 0.0), 4) AS time_end
 FROM ctx q LEFT JOIN cx cr ON cr.utt_id = q.utt_id AND cr.pos = q.cp LEFT JOIN cx sr ON sr.utt_id = q.utt_id AND sr.pos = q.sp""",
-    "segment_table": f"WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')} SELECT utt_id, pos, type, text, coalesce(tags, '') AS tags FROM seg LEFT JOIN fmt USING (utt_id, pos)",
+    "segment_table": f"WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')} SELECT utt_id, pos, ({_fixed('s', 3)}) AS start, ({_fixed('e', 3)}) AS \"end\", "
+    + _fixed("(e - s)", 3) + " AS dur, type, text, coalesce(tags, '') AS tags FROM ("
+    + """SELECT *, CASE WHEN isfinite(start) THEN start END AS s, CASE WHEN isfinite("end") THEN "end" END AS e FROM seg) LEFT JOIN fmt USING (utt_id, pos)""",
     "highlight_spans": rf"""WITH {_ONCE}, {_GIVEN}, {_PRIO}, {_format('given')}, x AS (
   SELECT utt_id, wi, text, regexp_extract_all(coalesce(tags, ''), '\[[^\]]*\]') AS f FROM words LEFT JOIN fmt USING (utt_id, pos)
 )
 SELECT utt_id, wi, CAST(generate_subscripts(f, 1) - 1 AS INT) AS n, unnest(f) AS span, regexp_extract(unnest(f), '\[([^=\]]*)', 1) AS label FROM x
 UNION ALL SELECT utt_id, wi, CAST(len(f) AS INT), coalesce(text, ''), CASE WHEN len(f) > 0 THEN regexp_extract(f[1], '\[([^=\]]*)', 1) END FROM x""",
     "calibration": f"{_CALIBRATION} {_ROUNDED} grid",
-    "calibration_with_frames": f"WITH {_TIMED}, {_FRAMES}, {_framed('(SELECT * FROM cl WHERE e - s > 0)')}, "
+    "calibration_with_frames": f"WITH {_TIMED}, {_FRAMES}, {_framed(_LASTING)}, "
     + _framed("(SELECT * FROM words WHERE e - s > 0)").replace("sl AS", "slw AS", 1) + ", " + _FEATURES.format(more=_FRAME_FEATURES, names=repr(list(FEATURES))) + f" {_ROUNDED} grid",
     "resumed_calibration": f"""{_CALIBRATION}, u AS (
   SELECT * FROM grid WHERE n > 0 UNION ALL SELECT lang_style, feature, n, mean, std FROM population_stats WHERE n > 0
@@ -464,11 +521,20 @@ mv AS (
 )
 SELECT w.utt_id, w.wi, round(coalesce(ns, s), 6) AS start, round(coalesce(ne, e), 6) AS "end" FROM words w LEFT JOIN mv USING (utt_id, wi)"""
 
-_KNOWN = "(SELECT utt_id, max(text) AS text, max(trim(lang, ' ')) AS lang FROM utterances GROUP BY utt_id)"
-SQL["aligned_words"] = (
-    f"WITH {_ONCE},"
-    + _ATTACH.replace("FROM utterances {where} GROUP BY utt_id", f"FROM {_KNOWN} WHERE {_LANG} <> lang GROUP BY utt_id").replace("{{", "{").replace("}}", "}")
-    + ","
-    + _grouped("att", "utt_id")
-    + ' SELECT utt_id, wi, pos, clause_id, sent_id, text, start, "end" FROM grp'
-)
+_HEARD = """(
+  SELECT utt_id, coalesce(max(u.text), any_value(h.text)) AS text FROM utterances u LEFT JOIN (
+    SELECT utt_id, string_agg(text, ' ' ORDER BY pos, text) AS text
+    FROM (SELECT DISTINCT utt_id, pos, text FROM segments WHERE type = 'sentence' AND text IS NOT NULL) GROUP BY utt_id
+  ) h USING (utt_id) GROUP BY utt_id
+)"""
+
+
+def _aligned(said: str) -> str:
+    return (
+        f"WITH {_ONCE}," + _ATTACH.replace("FROM utterances {where} GROUP BY utt_id", f"FROM {said} GROUP BY utt_id").replace("{{", "{").replace("}}", "}")
+        + "," + _grouped("att", "utt_id") + ' SELECT utt_id, wi, pos, clause_id, sent_id, text, start, "end" FROM grp'
+    )
+
+
+SQL["aligned_words"] = _aligned("utterances")
+SQL["aligned_utterances"] = _aligned(_HEARD)

@@ -83,11 +83,43 @@ def energy_frames(spark: SparkSession, root: str, frame_ms: int = 30, hop_ms: in
                     rows.append((path, None, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["path", "sr", "hop", "energy", "error"]).astype({"sr": "Int32", "hop": "Int32"})
 
-    return _files(spark, root, "*.wav", True).select("path", "content").mapInPandas(run, "path string, sr int, hop int, energy array<double>, error string")
+    return _files(spark, root, "*.[wW][aA][vV]", True).select("path", "content").mapInPandas(run, "path string, sr int, hop int, energy array<double>, error string")
+
+
+def _known(utterances: DataFrame) -> DataFrame:
+    """``utt_id, lang_dir, stem`` of utterances with a path, each once: what names their recording below any root."""
+    return with_parts(utterances.where("path IS NOT NULL").select("path").distinct()).join(utterances.select("utt_id", "path").distinct(), "path").select("utt_id", "lang_dir", "stem").distinct()
+
+
+def utterance_frames(spark: SparkSession, root: str, utterances: DataFrame, **options) -> DataFrame:
+    """Frames as the extractors take them, ``utt_id, sr, hop, energy, f0_hop, f0``, from the recordings of ``utterances(utt_id, path)``.
+
+    Recordings below ``root`` are found by folder and name.  The pitch is null: it needs a tracker, whose frames
+    can be joined in its place.  A recording that cannot be decoded has no row; :func:`decoding_status` names it.
+    """
+    frames = energy_frames(spark, root, **options).where("error IS NULL")
+    named = with_parts(frames.select("path")).select("path", "lang_dir", "stem")
+    found = frames.join(named, "path").join(_known(utterances), ["lang_dir", "stem"])
+    return found.select("utt_id", "sr", "hop", "energy", F.col("hop").alias("f0_hop"), F.lit(None).cast("array<double>").alias("f0"))
+
+
+def decoding_status(spark: SparkSession, root: str) -> DataFrame:
+    """``path, ok, error`` of each recording below ``root``."""
+    return energy_frames(spark, root).select("path", F.col("error").isNull().alias("ok"), "error")
+
+
+def clause_loudness(spark: SparkSession, root: str, rows: DataFrame, utterances: DataFrame) -> DataFrame:
+    """``utt_id, clause_id, lufs`` of the clauses of listed rows, as calibration takes it, from the recordings below ``root``."""
+    from sonoweave.operators.calibrate import clause_spans
+
+    named = recordings(spark, root, any_case=True).select("path", "lang_dir", "stem").join(_known(utterances), ["lang_dir", "stem"]).select("path", "utt_id")
+    spans = clause_spans(rows).select("utt_id", "clause_id", "start", "end").join(named, "utt_id")
+    return segment_loudness(spark, root, spans.select("path", "utt_id", "clause_id", "start", "end")).select("utt_id", "clause_id", "lufs")
 
 
 def segment_loudness(spark: SparkSession, root: str, spans: DataFrame) -> DataFrame:
-    """Add ``lufs`` to ``spans(path, start, end, ...)``: gated loudness of each; null under 0.4 s or where it is not finite.
+    """Add ``lufs`` to ``spans(path, start, end, ...)``: gated loudness of each; null under 0.4 s, where it is not finite, and
+    where the recording cannot be decoded.
 
     A recording meets all its spans once.
     """
@@ -95,15 +127,19 @@ def segment_loudness(spark: SparkSession, root: str, spans: DataFrame) -> DataFr
 
     keep = [c for c in spans.columns if c != "path"]
     grouped = spans.groupBy("path").agg(F.collect_list(F.struct(*keep)).alias("s"))
-    rows = _files(spark, root, "*.wav", True).select("path", "content").join(grouped, "path")
+    rows = _files(spark, root, "*.[wW][aA][vV]", True).select("path", "content").join(grouped, "path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for path, content, listed in zip(pdf["path"], pdf["content"], pdf["s"], strict=True):
-                y, sr = S.decode_wav(content)
+                try:
+                    y, sr = S.decode_wav(content)
+                except Exception:  # one unreadable file must not end the job
+                    y, sr = None, None
                 for s in listed:
-                    out.append((path, *[s[k] for k in keep], S.segment_loudness(y, sr, s["start"], s["end"])))
+                    known = y is not None and s["start"] is not None and s["end"] is not None
+                    out.append((path, *[s[k] for k in keep], S.segment_loudness(y, sr, s["start"], s["end"]) if known else None))
             yield pd.DataFrame(out, columns=["path", *keep, "lufs"])
 
     types = {f.name: f.dataType.simpleString() for f in spans.schema.fields}
