@@ -84,31 +84,34 @@ def gaps(df: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     )
 
 
-def covered_periods(df: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+def covered_periods(df: DataFrame, keys: Sequence[str], bucket_ms: int = 600_000, **options) -> DataFrame:
     """Merged continuous periods of one key: ``from_ms``, ``to_ms``; touching intervals are continuous.
 
-    A period starts where a gap (or nothing) precedes and ends where the count
-    falls to zero, so the periods are the gaps' complement between the first
-    start and the last end.
+    A period ends at an instant after which the count is zero and starts at the first one or where such a
+    stretch ends.  Starts and ends alternate, so the start of a period is the latest at or before its end; it is
+    looked for in the end's bucket, and beyond among the buckets' last starts, a row for each.
     """
     keys = list(keys)
-    edges = gaps(df, keys, **options)
-    bounds = (
-        df.where(F.col(options.get("end_ms", "end_ms")) > F.col(options.get("start_ms", "start_ms")))
-        .groupBy(*keys)
-        .agg(F.min(options.get("start_ms", "start_ms")).alias("_lo"), F.max(options.get("end_ms", "end_ms")).alias("_hi"))
-    )
-    starts = edges.select(*keys, F.col("gap_to_ms").alias("from_ms"))
-    marks = bounds.select(*keys, F.col("_lo").alias("from_ms"), F.lit(None).cast("bigint").alias("to_ms")).unionByName(
-        edges.select(*keys, F.lit(None).cast("bigint").alias("from_ms"), F.col("gap_from_ms").alias("to_ms"))
-    )
-    marks = marks.unionByName(starts.withColumn("to_ms", F.lit(None).cast("bigint"))).unionByName(
-        bounds.select(*keys, F.lit(None).cast("bigint").alias("from_ms"), F.col("_hi").alias("to_ms"))
-    )
-    at = F.coalesce("from_ms", "to_ms")
-    order = Window.partitionBy(*keys).orderBy(at, F.col("from_ms").isNotNull())
-    paired = marks.select(*keys, "from_ms", F.lead("to_ms").over(order).alias("to_ms"))
-    return paired.where(F.col("from_ms").isNotNull() & F.col("to_ms").isNotNull())
+    counts = active_counts(df, keys, bucket_ms=bucket_ms, **options)
+    ends = counts.where(F.col("active") == 0)
+    # each end with what follows it: the start of the next period, if there is one
+    marks = F.explode(F.array(F.struct(F.col("at"), F.lit(False).alias("starts")), F.struct(F.col("next_at").alias("at"), F.lit(True).alias("starts"))))
+    start, end = options.get("start_ms", "start_ms"), options.get("end_ms", "end_ms")
+    first = df.where(F.col(end) > F.col(start)).groupBy(*keys).agg(F.min(start).alias("at")).select(*keys, F.struct("at", F.lit(True).alias("starts")).alias("m"))
+    events = ends.select(*keys, marks.alias("m")).unionByName(first).select(*keys, "m.at", "m.starts").where("at IS NOT NULL")
+    events = events.withColumn("_b", F.floor(F.col("at") / F.lit(bucket_ms)))
+    own = F.when(F.col("starts"), F.col("at"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("at", F.desc("starts")).rowsBetween(Window.unboundedPreceding, 0)
+    near = events.withColumn("from_ms", F.last(own, ignorenulls=True).over(inside)).where(~F.col("starts"))
+    before = Window.partitionBy(*keys).orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    far = (
+        events.groupBy(*keys, F.col("_b").alias("_kb")).agg(F.max(own).alias("_last"))
+        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_kb", F.max("_last").over(before).alias("_far"))
+    )
+    same = F.col("_b") == F.col("_kb")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return near.join(far, same).select(*keys, F.coalesce("from_ms", "_far").alias("from_ms"), F.col("at").alias("to_ms"))
 
 
 def segment_gaps(segments: DataFrame, kinds: Sequence[str] = ("clause", "sentence"), **options) -> DataFrame:

@@ -18,7 +18,7 @@ from sonoweave.operators import align, calibrate, compose, controls, intervals,
 from sonoweave.plans import flagship
 from sonoweave.plans.builder import ControlBuilder, Inputs, Options
 from sonoweave.session import table
-from sonoweave.sources import config, tree
+from sonoweave.sources import config, sinks, tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,6 +117,15 @@ def mean_error_rate(spark, d):
     return error_rates(spark, d).agg(F.count("*").alias("n"), F.round(F.coalesce(F.avg("wer"), F.lit(0.0)), 4).alias("mean_wer"))
 
 
+@query
+def error_report(spark, d):
+    """A line per utterance with its rate, transcript and recognised text, then the mean rate."""
+    said = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("text").alias("hyp"))
+    both = said.join(_heard(spark, d).select("utt_id", F.col("text").alias("ref")), "utt_id")
+    rows = both.select("utt_id", "ref", "hyp", word_error_rate(F.col("ref"), F.col("hyp")).alias("wer"))
+    return sinks.wer_lines(rows).select("value")
+
+
 # --- sources
 
 
@@ -203,6 +212,25 @@ def aligned_utterances(spark, d):
     return words.select("utt_id", "wi", "pos", "clause_id", "sent_id", "text", r6("start").alias("start"), r6("end").alias("end"))
 
 
+@query
+def detected_languages(spark, d):
+    """The language of every utterance as the stand-in recogniser hears it."""
+    return align.detected_languages(_spelled(spark, d), align.TableProvider(_heard(spark, d)))
+
+
+@query
+def alignment_report(spark, d):
+    """A line per row of the stored segment lists with known times."""
+    rows = segments._delivered(table(spark, d, "segments"))
+    return sinks.alignment_lines(rows.withColumns({c: segments.usable(F.col(c)) for c in ("start", "end")}))
+
+
+@query
+def analysis(spark, d):
+    """One row per utterance: control text of an earlier run's controls, segment table and controls on the time axis."""
+    return sinks.analysis_rows(given_control_text(spark, d), segment_table(spark, d), control_spans(spark, d))
+
+
 @query
 def unsupported_languages(spark, d):
     """Languages of utterances that the aligner does not know, and of how many."""

@@ -538,3 +538,7 @@ def _aligned(said: str) -> str:
 
 SQL["aligned_words"] = _aligned("utterances")
 SQL["aligned_utterances"] = _aligned(_HEARD)
+
+SQL["alignment_report"] = f"""WITH {_ONCE}
+SELECT utt_id || chr(9) || ({_fixed("start", 3)}) || chr(9) || ({_fixed('"end"', 3)}) || chr(9) || type || chr(9) || coalesce(text, '') AS value
+FROM seg WHERE isfinite(start) AND isfinite("end")"""

@@ -15,15 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for reliable checkpoints.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``.  Only where
-    neither that setting nor the context has one (local tests) is a folder of
-    this machine used.
+    A cluster names a shared folder in ``spark.checkpoint.dir``; one that does
+    not is an error, since no folder of one machine would do.  Only a local
+    session without the setting (tests) gets a folder of this machine.
     """
     context = spark.sparkContext
     known = context._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
     folder = context.getConf().get("spark.checkpoint.dir", "")
+    if not folder and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="sonoweave-ckpt-")
     context.setCheckpointDir(folder)
@@ -36,6 +38,3 @@ def reliable(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
