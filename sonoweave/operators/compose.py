@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonoweave.functions import text as T
-from sonoweave.operators.segments import _delivered, in_list_blocks, only_words, usable
+from sonoweave.operators.segments import _delivered, in_list_blocks, of_long_lists, only_words, usable
 
 # Priority of a control type; others come last.
 PRIORITY = {"style": 0, "emotion": 1, "speed": 2, "volume": 3, "pitch": 4, "break": 5, "emphasis": 6}
@@ -91,7 +91,8 @@ def segment_context(segments: DataFrame) -> DataFrame:
     Found inside blocks of positions, and across blocks from a row for each.
     """
     columns = ("seg_id", "utt_id", "pos", "start", "end", "type", "loaded_at")
-    rows = _delivered(in_list_blocks(segments.select(*columns).withColumns({c: usable(F.col(c)) for c in ("start", "end")})))
+    listed = lambda df: _delivered(in_list_blocks(df.select(*columns).withColumns({c: usable(F.col(c)) for c in ("start", "end")})))
+    rows = listed(segments)
     forward = Window.partitionBy("utt_id", "_block").orderBy("pos", "seg_id").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("utt_id", "_block").orderBy(F.desc("pos"), F.desc("seg_id")).rowsBetween(Window.unboundedPreceding, 0)
     span, kinds = F.struct("start", "end"), ("word", "clause", "sentence")
@@ -101,7 +102,7 @@ def segment_context(segments: DataFrame) -> DataFrame:
         *[F.last(own[k], ignorenulls=True).over(backward).alias(k) for k in kinds[1:]],
     )
     place = F.struct("pos", "seg_id", span.alias("x"))
-    edges = rows.groupBy("utt_id", "_block").agg(
+    edges = listed(of_long_lists(segments)).groupBy("utt_id", "_block").agg(
         F.max(F.when(F.col("type") == "word", place))["x"].alias("word"), *[F.min(F.when(F.col("type") == k, place))["x"].alias(k) for k in kinds[1:]]
     )
     earlier = Window.partitionBy("utt_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,7 +111,7 @@ def segment_context(segments: DataFrame) -> DataFrame:
         F.col("utt_id").alias("_u"), F.col("_block").alias("_b"), F.last("word", ignorenulls=True).over(earlier).alias("_word"),
         *[F.last(k, ignorenulls=True).over(later).alias(f"_{k}") for k in kinds[1:]],
     )
-    joined = near.join(far, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")))
+    joined = near.join(far, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")), "left")
     return joined.select(
         "utt_id", "pos", "start", "end", F.coalesce("word", "_word")["end"].alias("before"),
         F.coalesce("clause", "_clause").alias("clause"), F.coalesce("sentence", "_sentence").alias("sentence"),

@@ -134,6 +134,13 @@ def in_list_blocks(segments: DataFrame) -> DataFrame:
     return segments.withColumn("_block", F.coalesce(F.floor(F.col("pos") / F.lit(BLOCK)), F.lit(-1)))
 
 
+def of_long_lists(segments: DataFrame) -> DataFrame:
+    """The rows of those lists that are more than one block."""
+    block = in_list_blocks(segments.select("utt_id", "pos"))
+    long = block.groupBy("utt_id").agg(F.min("_block").alias("lo"), F.max("_block").alias("hi")).where("lo <> hi").select(F.col("utt_id").alias("_long"))
+    return segments.join(long, F.col("utt_id").eqNullSafe(F.col("_long")), "left_semi")
+
+
 def _delivered(segments: DataFrame) -> DataFrame:
     """Rows of a stored segment list, each once: copies of a row share their utterance and position and lie next to each other."""
     order = Window.partitionBy("utt_id", "_block").orderBy("pos", "seg_id", "loaded_at")
@@ -158,14 +165,14 @@ def listed_rows(segments: DataFrame) -> DataFrame:
     is_word = F.col("type") == "word"
     last = F.struct(F.col("end"), F.col("clause_id"), F.col("sent_id"))
 
-    def counted(columns: tuple[str, ...]) -> DataFrame:
+    def counted(segments: DataFrame, columns: tuple[str, ...]) -> DataFrame:
         before = lambda kind: F.coalesce(F.sum((F.col("type") == kind).cast("int")).over(place), F.lit(0)).cast("int")
         times = {c: usable(F.col(c)) for c in ("start", "end") if c in columns}
         rows = _delivered(in_list_blocks(segments.select(*columns).withColumns(times)))
         return rows.select("*", before("word").alias("wi"), before("clause").alias("clause_id"), before("sentence").alias("sent_id"))
 
     of = lambda kind: F.sum((F.col("type") == kind).cast("int"))
-    blocks = counted(columns).groupBy("utt_id", "_block").agg(
+    blocks = counted(of_long_lists(segments), columns).groupBy("utt_id", "_block").agg(
         of("word").alias("w"), of("clause").alias("c"), of("sentence").alias("s"),
         F.max(F.when(is_word, F.struct("pos", "seg_id", last.alias("l"))))["l"].alias("l"),
     )
@@ -176,9 +183,11 @@ def listed_rows(segments: DataFrame) -> DataFrame:
     blocks = blocks.select(
         F.col("utt_id").alias("_u"), F.col("_block").alias("_b"), "_w", "_c", "_s", F.last("l", ignorenulls=True).over(earlier).alias("_before")
     )
-    rows = counted((*columns, "source", "start", "text"))
+    rows = counted(segments, (*columns, "source", "start", "text"))
     rows = rows.withColumn("_prev", F.last(F.when(is_word, last), ignorenulls=True).over(place)).where(F.col("type").isin("word", "clause"))
-    joined = rows.join(blocks, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")))
+    # a list of one block has nothing before it, so as a rule this side is empty and known to be so before the join
+    joined = rows.join(blocks, F.col("utt_id").eqNullSafe(F.col("_u")) & (F.col("_block") == F.col("_b")), "left")
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("_w", "_c", "_s")})
     return joined.select(
         "utt_id", "source", "type", (F.col("wi") + F.col("_w")).alias("wi"), "pos", (F.col("clause_id") + F.col("_c")).alias("clause_id"),
         (F.col("sent_id") + F.col("_s")).alias("sent_id"), "text", "start", "end", F.coalesce(moved(F.col("_prev")), F.col("_before")).alias("prev"),

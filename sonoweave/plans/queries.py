@@ -274,7 +274,9 @@ def _vectors(spark, d) -> DataFrame:
     """``utt_id, e``: an embedding for every utterance, by its number; all embeddings are used in turn."""
     vectors = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
     number = F.regexp_extract("utt_id", r"(\d+)$", 1).cast("bigint") % max(vectors.count(), 1)
-    return table(spark, d, "utterances").select("utt_id").distinct().withColumn("vec_id", number).join(vectors, "vec_id").select("utt_id", "e")
+    named = table(spark, d, "utterances").select("utt_id").distinct().withColumn("vec_id", number).join(vectors, "vec_id").select("utt_id", "e")
+    # ids are small and end up in few partitions, what is made of the embeddings is not
+    return named.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "utt_id")
 
 
 def _frames(spark, d) -> DataFrame:

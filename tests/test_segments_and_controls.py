@@ -176,6 +176,34 @@ def test_stored_lists(spark):
     assert marks[0, 2] == ("[emphasis]", "emphasis") and marks[0, 3] == ("Hi,", "emotion") and marks[2, 0] == ("", None)
 
 
+@pytest.mark.parametrize("block", [1, 3, 7])
+def test_blocks_of_lists_do_not_matter(spark, monkeypatch, block):
+    """Lists read in small blocks equal lists read as one: ids, the word before, clauses and the spans of controls."""
+    rng = random.Random(block)
+    rows = []
+    for u in ("hot", "b", None):
+        pos, at = 0, 0.0
+        for _ in range(60 if u == "hot" else 9):
+            kind = rng.choice(["word"] * 5 + ["clause", "sentence"])
+            rows.append((len(rows), u, "s", pos, at, at + rng.choice([0.1, 0.5]), "w,", kind, T0))
+            pos += rng.choice([1, 1, 4])
+            at += 0.4
+    df = spark.createDataFrame(rows + rows[::5], SEG)
+    given = spark.createDataFrame([("hot", 1, t, "x", None, p, None) for t in ("break", "speed", "emotion") for p in range(0, 60, 3)], "utt_id string, ext_order int, type string, value string, value_num double, pos int, info string")
+
+    def everything():
+        listed = segments.listed_rows(df)
+        parts = listed, segments.clauses(listed), segments.pauses(segments.only_words(listed)), compose.control_spans(given, df)
+        return [sorted(map(str, x.collect())) for x in parts]
+
+    whole = everything()
+    monkeypatch.setattr(segments, "BLOCK", block)
+    assert everything() == whole
+    words = sorted((r for r in segments.listed_words(df).collect() if r.utt_id == "hot"), key=lambda r: r.pos)
+    assert [r.wi for r in words] == list(range(len(words))) and words[0].prev is None
+    assert all(b.prev.end == a.end and b.prev.clause_id == a.clause_id and b.prev.sent_id == a.sent_id for a, b in zip(words, words[1:]))
+
+
 def test_registry_keeps_places(spark):
     words, about, stats = example(spark)
     r = compose.Registry().add("style", lambda: controls.style_controls(words, about)).add("break", lambda: controls.pause_controls(words))
