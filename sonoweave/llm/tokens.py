@@ -130,7 +130,7 @@ class BytePairEncoder:
         return out
 
     def encode(self, text: str) -> list[int]:
-        """Token ids of a text, no special tokens; lone surrogates become the replacement character."""
+        """Token ids of a text, no special tokens; a lone surrogate, which no Spark string holds, becomes a question mark."""
         cache, out = self.cache, []
         for piece in self.find(text):
             ids = cache.get(piece)
