@@ -65,8 +65,7 @@ def align(utterances: DataFrame, aligner: Provider, recogniser: Provider | None
         utterances = with_text_and_language(utterances, recogniser)
     checked = utterances.where(F.col("text").isNotNull()).withColumn("_l", T.language_name(F.col("lang"), strict=True))
     checked = checked.where(F.col("_l").isNotNull() | F.col("lang").isNull()).drop("_l")
-    tokens = checked.select("utt_id", F.posexplode(T.tokens(F.col("text"))).alias("ti", "text"))
-    words = G.attach_times(tokens, aligner.rows(checked))
+    words = G.attach_times(G.text_tokens(checked, "utt_id", "ti"), aligner.rows(checked))
     if frames is not None:
         words = G.trimmed_words(words, frames)
     return G.with_groups(words).select("utt_id", "wi", "pos", "clause_id", "sent_id", "text", "start", "end")

@@ -34,15 +34,19 @@ def with_groups(words: DataFrame, key: str = "utt_id") -> DataFrame:
     )
 
 
-def text_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``key, wi, text, clause_end, sent_end, clause_id, sent_id, pos``: the words of each text.
+def text_tokens(df: DataFrame, key: str, index: str, text: str = "text") -> DataFrame:
+    """``key, index, text``: the tokens of each text.  Null, empty and blank texts have none.
 
-    Null, empty and blank texts have none.  Texts are moved by key before they become words, which are many times
-    larger; the windows and groups of a text's words then need no exchange.
+    Texts are moved by key before they become tokens, which are many times larger; the windows and groups of a
+    text's tokens then need no exchange.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exploded = df.select(key, text).repartition(width, key).select(F.col(key), F.posexplode(T.tokens(F.col(text))).alias("wi", "text"))
-    return with_groups(exploded, key)
+    return df.select(key, text).repartition(width, key).select(F.col(key), F.posexplode(T.tokens(F.col(text))).alias(index, "text"))
+
+
+def text_words(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``key, wi, text, clause_end, sent_end, clause_id, sent_id, pos``: the words of each text, see :func:`text_tokens`."""
+    return with_groups(text_tokens(df, key, "wi", text), key)
 
 
 def synthetic_times(words: DataFrame, key: str, seed: Column) -> DataFrame:

@@ -178,8 +178,7 @@ def _items(spark, d) -> DataFrame:
 @query
 def attached_times(spark, d):
     said = table(spark, d, "utterances").groupBy("utt_id").agg(F.max("text").alias("text"))
-    tokens_ = said.select("utt_id", F.posexplode(T.tokens(F.col("text"))).alias("ti", "text"))
-    words = segments.attach_times(tokens_, _items(spark, d))
+    words = segments.attach_times(segments.text_tokens(said, "utt_id", "ti"), _items(spark, d))
     return words.select("utt_id", "wi", "text", r6("start").alias("start"), r6("end").alias("end"))
 
 
