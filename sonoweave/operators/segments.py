@@ -124,9 +124,13 @@ def attach_times(tokens: DataFrame, items: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ti", "text"))), lambda x: x["text"]), "").alias("text"),
         F.min(F.when(F.col("timed"), F.col("first"))).alias("first"), F.min(F.when(F.col("timed"), F.col("last"))).alias("last"),
     )
-    starts = items.select("utt_id", F.col("item_idx").cast("int").alias("first"), "start")
-    ends = items.select("utt_id", F.col("item_idx").cast("int").alias("last"), "end")
-    return words.join(starts, ["utt_id", "first"], "left").join(ends, ["utt_id", "last"], "left").select("utt_id", "wi", "text", "start", "end")
+    # one join for both ends of a word, which as a rule are of one item
+    sought = words.withColumn("_i", F.explode(F.array_distinct(F.array("first", "last"))))
+    times = items.select("utt_id", F.col("item_idx").cast("int").alias("_i"), "start", "end")
+    return sought.join(times, ["utt_id", "_i"], "left").groupBy("utt_id", "wi").agg(
+        F.max("text").alias("text"), F.max(F.when(F.col("_i") == F.col("first"), F.col("start"))).alias("start"),
+        F.max(F.when(F.col("_i") == F.col("last"), F.col("end"))).alias("end"),
+    )
 
 
 #: Positions per block of a stored list.
